@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dartminhash, mixing, quality, token_counts, toxicity
+from . import bpe, dartminhash, embedding_dedup, mixing, pivot_search, quality, token_counts, toxicity
 
 #: Where the public tokenizer files are; a parameter of the operators.
 TOKENIZERS = os.environ.get("TERMLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op2_section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", rule="most")
 
@@ -38,10 +42,14 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.quality(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_section_token_counts, op4_bpe_round_trip, op6_toxicity, op7_near_duplicates, op8_source_mix, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_section_token_counts, op4_bpe_round_trip, op6_toxicity, op7_near_duplicates, op8_source_mix, op9_embedding_near_duplicates, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
