@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dartminhash, embedding_dedup, mixing, pivot_search, quality, token_counts, toxicity
+from . import bpe, chat, dartminhash, embedding_dedup, mixing, pivot_search, quality, token_counts, toxicity, zipwarc
 
 #: Where the public tokenizer files are; a parameter of the operators.
 TOKENIZERS = os.environ.get("TERMLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -25,10 +25,18 @@ def op2_section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", rule="most")
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zipwarc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.toxicity(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -51,5 +59,39 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_section_token_counts, op4_bpe_round_trip, op6_toxicity, op7_near_duplicates, op8_source_mix, op9_embedding_near_duplicates, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pivot_search, op2_section_token_counts, op3_quotation_linking, op4_bpe_round_trip, op5_zip_warc,
+        op6_toxicity, op7_near_duplicates, op8_source_mix, op9_embedding_near_duplicates, op10_quality,
+    )
+}
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+#: The operators that SQL can express; the others are held against plain Python in the tests.
+ORACLE_SQL: dict[str, str] = {
+    "op1_pivot_search": f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 20
+""",
+    "op3_quotation_linking": chat.ORACLE,
+    "op5_zip_warc": """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+t AS (SELECT *, CASE WHEN strlen(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS top FROM p)
+SELECT page_id, url, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM t
+""",
+    "op9_embedding_near_duplicates": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE} AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(least(a, b)) AS m FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.m, vec_id) AS component_id, coalesce(c.m, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+""",
+}
