@@ -19,6 +19,23 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return functools.reduce(operator.or_, conditions, F.lit(False))
 
 
+def first_of(rules: Iterable[tuple], other) -> Column:
+    """One CASE: the value of the first rule (condition, value) that holds."""
+    rules = list(rules)
+    other = other if isinstance(other, Column) else F.lit(other)
+    if not rules:
+        return other
+    out = F.when(*rules[0])
+    for condition, value in rules[1:]:
+        out = out.when(condition, value)
+    return out.otherwise(other)
+
+
+def bound(c: Column, fn) -> Column:
+    """fn(c) with c computed once."""
+    return F.transform(F.array(c), fn)[0]
+
+
 def contains_any(c: Column, words: Iterable[str]) -> Column:
     """Whether any of the words is a substring; one regular expression instead of a chain of tests."""
     words = list(words)

@@ -17,17 +17,11 @@ def fallback(decision: Column) -> Column:
 
 
 def action(text: Column) -> Column:
-    out = F.lit("perform operations")
-    for a in reversed(L.CONTEXT_ACTIONS):
-        out = F.when(F.lower(text).contains(a), f"{a} objects or elements").otherwise(out)
-    return out
+    return T.first_of(((F.lower(text).contains(a), f"{a} objects or elements") for a in L.CONTEXT_ACTIONS), "perform operations")
 
 
 def _first(text: Column, rules: tuple, other: str) -> Column:
-    out = F.lit(other)
-    for word, phrase in reversed(rules):
-        out = F.when(F.lower(text).contains(word), phrase).otherwise(out)
-    return out
+    return T.first_of(((F.lower(text).contains(word), phrase) for word, phrase in rules), other)
 
 
 def capability(text: Column) -> Column:
@@ -44,13 +38,13 @@ def file_action(text: Column) -> Column:
 
 def pattern(texts: Column, lexicon: L.Lexicon = L.DEFAULT) -> Column:
     """The group with the most keywords in the first three texts, the earlier of equals; null without any."""
-    text = F.lower(F.array_join(F.slice(texts, 1, 3), " "))
-    scores = [(name, T.count_contained(text, [*words, *(lexicon.product_names if name == "cad" else ())])) for name, words in L.CONTEXT_PATTERNS]
-    top = F.greatest(*(s for _, s in scores))
-    out = F.lit(None).cast("string")
-    for name, s in reversed(scores):
-        out = F.when(s == top, name).otherwise(out)
-    return F.when(top > 0, out)
+    names = F.array(*(F.lit(name) for name, _ in L.CONTEXT_PATTERNS))
+
+    def scores(text: Column) -> Column:
+        return F.array(*(T.count_contained(text, [*words, *(lexicon.product_names if name == "cad" else ())]) for name, words in L.CONTEXT_PATTERNS))
+
+    counts = T.bound(F.lower(F.array_join(F.slice(texts, 1, 3), " ")), scores)
+    return T.bound(counts, lambda s: F.when(F.array_max(s) > 0, F.element_at(names, F.array_position(s, F.array_max(s)).cast("int"))))
 
 
 def template(name: Column, text: Column) -> Column:

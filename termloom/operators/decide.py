@@ -89,10 +89,7 @@ def decision(score: Column, action: Column, term: Column) -> Column:
     one = F.size(T.words(term)) == 1
 
     def cut(levels_one: tuple, levels_more: tuple, names: tuple, rest: str) -> Column:
-        out = F.lit(rest)
-        for a, b, name in reversed(list(zip(levels_one, levels_more, names, strict=True))):
-            out = F.when(score >= F.when(one, a).otherwise(b), name).otherwise(out)
-        return out
+        return T.first_of(((score >= F.when(one, a).otherwise(b), name) for a, b, name in zip(levels_one, levels_more, names, strict=True)), rest)
 
     new = cut((0.7, 0.5), (0.6, 0.4), ("approved_as_new_term", "conditionally_approved_as_new_term"), "needs_review_for_new_term")
     plain = cut((0.55, 0.45, 0.38), (0.48, 0.38, 0.32), ("approved", "conditionally_approved", "needs_review"), "rejected")

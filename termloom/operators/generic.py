@@ -11,18 +11,12 @@ from ..functions import text as T
 
 def _verdict(*rules: tuple[Column, float], other: float) -> Column:
     """struct(generic, confidence) of the first rule that holds."""
-    generic, confidence = F.lit(False), F.lit(other)
-    for condition, value in reversed(rules):
-        generic = F.when(condition, True).otherwise(generic)
-        confidence = F.when(condition, value).otherwise(confidence)
-    return F.struct(generic.alias("generic"), confidence.alias("confidence"))
+    generic = T.first_of(((condition, True) for condition, _ in rules), False)
+    return F.struct(generic.alias("generic"), T.first_of(rules, other).alias("confidence"))
 
 
 def context_type(c: Column) -> Column:
-    low, out = F.lower(c), F.lit("General")
-    for name, words in reversed(L.CONTEXT_TYPES):
-        out = F.when(T.contains_any(low, words), name).otherwise(out)
-    return out
+    return T.first_of(((T.contains_any(F.lower(c), words), name) for name, words in L.CONTEXT_TYPES), "General")
 
 
 def _times(types: Column, name: str) -> Column:

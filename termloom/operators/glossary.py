@@ -175,7 +175,4 @@ ERRORS = (
 
 def error_class(message: Column) -> Column:
     """token_expired, server, content_filter, xml or null."""
-    low, out = F.lower(message), F.lit(None).cast("string")
-    for name, signs in reversed(ERRORS):
-        out = F.when(T.contains_any(low, signs), name).otherwise(out)
-    return out
+    return T.first_of(((T.contains_any(F.lower(message), signs), name) for name, signs in ERRORS), F.lit(None).cast("string"))
