@@ -75,17 +75,42 @@ def word_logits(words: Words, bucket: np.ndarray) -> np.ndarray:
     return total / count
 
 
-def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bucket) of all n-grams; for training."""
-    ids, buckets = [np.arange(len(words.hash))], [(words.hash & np.uint64((1 << BITS) - 1)).astype(np.int64)]
+def _grams(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, number of buckets of each) of the chosen words' n-grams, word after word; for training."""
+    start, end = words.start[chosen], words.end[chosen]
+    ids = [np.arange(len(chosen))]
+    buckets = [(words.hash[chosen] & np.uint64((1 << BITS) - 1)).astype(np.int64)]
     for n in SIZES:
         at = _hash_at(words, n)
-        lo, k = words.start - 1, np.maximum(words.end + 1 - n + 1 - (words.start - 1), 0)
-        word = np.repeat(np.arange(len(lo)), k)
-        place = np.arange(len(word)) - np.repeat(np.cumsum(k) - k, k) + lo[word]
+        k = np.maximum(end + 1 - n + 1 - (start - 1), 0)
+        word = np.repeat(np.arange(len(chosen)), k)
         ids.append(word)
-        buckets.append(at[place])
-    return np.concatenate(ids), np.concatenate(buckets)
+        buckets.append(at[np.arange(len(word)) - np.repeat(np.cumsum(k) - k, k) + start[word] - 1])
+    word = np.concatenate(ids)
+    order = np.argsort(word, kind="stable")
+    return np.concatenate(buckets)[order], np.bincount(word, minlength=len(chosen))
+
+
+def _vocabulary(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc and word of every token, buckets and their number of every distinct word), in bounded chunks of text."""
+    docs, hashes, gram, per = [], [], [], []
+    seen = np.zeros(0, np.uint64)
+    first: list[np.ndarray] = []
+    for lo, hi in chunks(texts):
+        words = _marked(texts[lo:hi])
+        docs.append(words.doc + lo)
+        hashes.append(words.hash)
+        new, at = np.unique(words.hash, return_index=True)
+        fresh = ~np.isin(new, seen, assume_unique=True)
+        g, k = _grams(words, at[fresh])
+        gram.append(g.astype(np.int32))
+        per.append(k)
+        first.append(new[fresh])
+        seen = np.union1d(seen, new[fresh])
+    names = np.concatenate(first)
+    order = np.argsort(names)
+    word = order[np.searchsorted(names[order], np.concatenate(hashes))]
+    return np.concatenate(docs), word.astype(np.int64), np.concatenate(gram).astype(np.int64), np.concatenate(per)
 
 
 def _windows(doc: np.ndarray, n_docs: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,14 +140,11 @@ def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, win
     n = len(texts)
     if not n or y.min() == y.max():
         return Model(np.zeros(1 << BITS, np.float32), 0.0 if not n else (-4.0, 4.0)[int(y[0])])
-    words = _marked(texts)
-    _, first, word = np.unique(words.hash, return_index=True, return_inverse=True)
-    kept = object.__new__(Words)
-    kept.__dict__ |= words.__dict__
-    kept.start, kept.end, kept.hash = words.start[first], words.end[first], words.hash[first]
-    gram_word, gram = _grams(kept)
-    per = np.bincount(gram_word, minlength=len(first)).astype(np.float64)
-    d, lo, hi = _windows(words.doc, n, window)
+    doc, word, gram, per = _vocabulary(texts)
+    if not len(word):
+        return Model(np.zeros(1 << BITS, np.float32), 0.0)
+    starts = np.cumsum(per) - per
+    d, lo, hi = _windows(doc, n, window)
     width = (hi - lo).astype(np.float64)
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.1, (1 << BITS, dim))
@@ -133,7 +155,7 @@ def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, win
     v = [np.zeros_like(e), np.zeros_like(w), 0.0]
     for step in range(1, epochs + 1):
         delta = w[:, 1] - w[:, 0]
-        z_word = np.bincount(gram_word, (e @ delta)[gram], len(first)) / per
+        z_word = np.add.reduceat((e @ delta)[gram], starts) / per
         sums = np.concatenate([[0.0], np.cumsum(z_word[word])])
         z = (sums[hi] - sums[lo]) / width
         top = np.full(n, -np.inf)
@@ -144,8 +166,8 @@ def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, win
         g = weight * (1 / (1 + np.exp(-logit)) - y)
         g_win = g[d] * share / width
         edge = np.bincount(lo, g_win, len(word) + 1) - np.bincount(hi, g_win, len(word) + 1)
-        g_word = np.bincount(word, np.cumsum(edge)[:-1], len(first)) / per
-        g_bucket = np.bincount(gram, g_word[gram_word], 1 << BITS)
+        g_word = np.bincount(word, np.cumsum(edge)[:-1], len(per)) / per
+        g_bucket = np.bincount(gram, np.repeat(g_word, per), 1 << BITS)
         grad_w = e.T @ g_bucket
         grads = [np.outer(g_bucket, delta) + decay * e, np.stack([-grad_w, grad_w], 1) + decay * w, g.sum()]
         params = [e, w, bias]
