@@ -97,10 +97,14 @@ def reply_order(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "tu
     parents = linear.join(best, ["conv", "turn"], "left").select("conv", "turn", F.coalesce("quoted", "previous").alias("parent"), F.when(F.col("quoted").isNotNull(), "quote").when(F.col("previous").isNotNull(), "previous").otherwise("root").alias("kind"))
     parents = cut(parents)
     # distance to the root by pointer doubling
+    # only turns that haven't reached their root are joined again
     jumps = parents.select("conv", "turn", F.col("parent").alias("to"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"))
-    while jumps.where("to is not null").limit(1).count():
-        ahead = jumps.select("conv", F.col("turn").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("depth2"))
-        jumps = cut(jumps.join(ahead, ["conv", "to"], "left").select("conv", "turn", F.col("to2").alias("to"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")))
+    settled, moving = jumps.where("to is null"), jumps.where("to is not null")
+    while moving.limit(1).count():
+        ahead = settled.union(moving).select("conv", F.col("turn").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("depth2"))
+        moved = cut(moving.join(ahead, ["conv", "to"]).select("conv", "turn", F.col("to2").alias("to"), (F.col("depth") + F.col("depth2")).alias("depth")))
+        settled, moving = settled.union(moved.where("to is null")), moved.where("to is not null")
+    jumps = settled
     full = placed.join(parents, ["conv", "turn"]).join(jumps.select("conv", "turn", "depth"), ["conv", "turn"])
     block = full.withColumn("block", F.floor(F.col("turn") / TURNS).cast("long"))
     counts = block.groupBy("conv", "depth", "block").agg(F.count("*").alias("n"))
