@@ -39,12 +39,12 @@ def _power(n: int, inverse: bool) -> np.ndarray:
     return _powers[key][:n]
 
 
-def chunks(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about limit characters each; a longer text has a range of its own."""
+def chunks(texts: list, limit: int = 1 << 19, most: int = 1 << 14) -> Iterator[tuple[int, int]]:
+    """Ranges of at most most texts with about limit characters; a longer text has a range of its own."""
     at = size = 0
     for i, t in enumerate(texts):
         n = len(t or "")
-        if size and size + n > limit:
+        if i - at >= most or (size and size + n > limit):
             yield at, i
             at, size = i, 0
         size += n + 1

@@ -31,7 +31,7 @@ _MASK = (1 << _SHIFT) - 1
 _NONE = 1 << 62
 BLOCK = 4096
 CACHED = 64
-CACHE = 200_000
+CACHE = 100_000
 
 
 def byte_symbols() -> list[str]:

@@ -83,7 +83,7 @@ def _weights(counts: np.ndarray, weight: str) -> np.ndarray:
 def _sketches(batches, width: int, bands: int, rows: int, weight: str):
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for lo, hi in chunks(texts):
+        for lo, hi in chunks(texts, most=256):
             n = hi - lo
             docs, hashes, counts = distinct(*shingles(Words(texts[lo:hi]), width))
             w = _weights(counts, weight)
