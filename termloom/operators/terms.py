@@ -25,6 +25,15 @@ def aggregate(combined: DataFrame) -> DataFrame:
     return combined.groupBy("term").agg(F.sum("frequency").cast("long").alias("frequency"), longest.alias("original_text"), F.min("source_row").alias("source_row"))
 
 
+def with_contexts(new: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """new terms with the first frequency, the texts and the distinct tags of their cleaned rows; 1 and none without any."""
+    texts = F.transform(F.array_sort(F.collect_list(F.when(F.col("original_text").isNotNull(), F.struct("source_row", "original_text")))), lambda s: s["original_text"])
+    known = cleaned.groupBy("term").agg(F.min_by("frequency", "source_row").alias("known"), texts.alias("contexts"), F.array_sort(F.collect_set("pos_tag")).alias("pos_tags"))
+    none = F.array().cast("array<string>")
+    joined = new.select("term").distinct().join(known, "term", "left")
+    return joined.select("term", F.coalesce("known", F.lit(1)).alias("frequency"), F.coalesce("contexts", none).alias("contexts"), F.coalesce("pos_tags", none).alias("pos_tags"))
+
+
 def unique_terms(df: DataFrame) -> DataFrame:
     return df.select("term").distinct()
 

@@ -231,6 +231,36 @@ def unique_terms(spark, d):
     return terms.unique_terms(_terms(spark, d))
 
 
+CLEANED = "SELECT p_name AS term, p_size AS frequency, p_type AS original_text, p_partkey AS source_row, p_brand AS pos_tag FROM {part} WHERE p_partkey % 3 = 0"
+
+
+@query(f"""
+WITH c AS ({CLEANED}), n AS (SELECT DISTINCT p_name AS term FROM part WHERE p_partkey % 2 = 0 UNION SELECT 'unknown term')
+SELECT n.term, CAST(coalesce(arg_min(c.frequency, c.source_row), 1) AS BIGINT) AS frequency, count(c.original_text) AS n_texts, coalesce(string_agg(DISTINCT c.pos_tag, ',' ORDER BY c.pos_tag), '') AS tags
+FROM n LEFT JOIN c ON c.term = n.term GROUP BY n.term
+""")
+def cleaned_context(spark, d):
+    new = X.table(spark, d, "part").where("p_partkey % 2 = 0").select(F.col("p_name").alias("term")).union(spark.createDataFrame([("unknown term",)], "term string"))
+    t = terms.with_contexts(new, X.fixture(spark, d, CLEANED))
+    return t.select("term", "frequency", F.size("contexts").alias("n_texts"), F.array_join("pos_tags", ",").alias("tags"))
+
+
+@query("SELECT doc_id AS term, 'old' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'new' FROM labels WHERE doc_id % 2 <> 0 OR doc_id NOT IN (SELECT doc_id FROM documents)")
+def merge_new(spark, d):
+    old = X.table(spark, d, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("term"), F.lit("old").alias("origin"))
+    return terms.merge_new(old, X.table(spark, d, "labels").select(F.col("doc_id").alias("term"), F.lit("new").alias("origin")))
+
+
+@query("""
+WITH c AS (SELECT lang, source, count(*) AS k FROM documents GROUP BY 1, 2), p AS (SELECT lang, k / sum(k) OVER (PARTITION BY lang) AS p FROM c)
+SELECT lang, round(-sum(p * ln(p)), 6) AS entropy, count(*) AS types FROM p GROUP BY lang
+""")
+def source_entropy(spark, d):
+    """The spread of each language over sources, from two levels of counts."""
+    counts = X.table(spark, d, "documents").groupBy("lang", "source").count()
+    return counts.groupBy("lang").agg(F.round(T.entropy(F.transform(F.array_sort(F.collect_list("count")), lambda x: x.cast("double"))), 6).alias("entropy"), F.count("*").alias("types"))
+
+
 # joins ----------------------------------------------------------------------------------------
 @query(f"""
 WITH g AS ({X.GLOSSARY}), f AS (SELECT DISTINCT doc_id, source AS term, 'glossary' AS kind FROM documents, (SELECT DISTINCT source FROM g WHERE pair = 'ENG-DEU') WHERE contains(text, source)),
@@ -733,6 +763,21 @@ def store_accepted(spark, d):
     return store.accepted(store.empty(spark), X.fixture(spark, d, X.ARRIVALS)).select("seq", "accepted")
 
 
+CACHE = "SELECT 'k' || CAST(user_id % 200 AS VARCHAR(20)) AS cache_key, event_type AS result, ts AS created_at, event_id FROM {events}"
+
+
+@query(f"""
+WITH c AS ({CACHE}), x AS (SELECT max(ts) AS as_of FROM events), l AS (SELECT cache_key, max(created_at) AS last FROM c, x WHERE created_at >= as_of - INTERVAL 2 DAY GROUP BY cache_key)
+SELECT 'k' || CAST(i AS VARCHAR) AS cache_key, last IS NOT NULL AS hit FROM (SELECT unnest(range(0, 250)) AS i) AS r LEFT JOIN l ON l.cache_key = 'k' || CAST(i AS VARCHAR)
+""")
+def cache_hits(spark, d):
+    """Which requests a cache with a limited age answers."""
+    cache = X.fixture(spark, d, CACHE)
+    as_of = X.table(spark, d, "events").agg(F.max("ts").alias("t")).first()[0]
+    requests = spark.range(250).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("cache_key"))
+    return store.cached(cache, requests, F.lit(as_of), 2).select("cache_key", F.col("result").isNotNull().alias("hit"))
+
+
 # batches --------------------------------------------------------------------------------------
 @query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 7) + 5 AS BIGINT) AS batch_id FROM orders")
 def batch_assign(spark, d):
@@ -776,6 +821,19 @@ def batch_totals(spark, d):
     return batches.batch_totals(batches.consolidate(X.fixture(spark, d, RESULTS)))
 
 
+@query(f"{REVIEW}, s2 AS (SELECT CASE WHEN score >= 0.8 THEN 'recommended' WHEN score >= 0.5 THEN 'needs_review' WHEN score >= 0.3 THEN 'low_priority' WHEN frequency % 6 = 0 THEN 'unexpected_duplicate' ELSE 'not_recommended' END AS status FROM r) SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("recommended", "needs_review", "low_priority", "unexpected_duplicate", "not_recommended")) + " FROM s2")
+def review_summary(spark, d):
+    return batches.status_summary(review_score(spark, d))
+
+
+@query("SELECT event_id, json_valid(CASE WHEN event_id % 3 = 0 THEN left(props, 3) ELSE props END) AS valid FROM events")
+def json_integrity(spark, d):
+    from ..sources import readers
+
+    e = X.table(spark, d, "events")
+    return e.select("event_id", readers.json_ok(F.when(F.col("event_id") % 3 == 0, F.substring("props", 1, 3)).otherwise(F.col("props"))).alias("valid"))
+
+
 # export ---------------------------------------------------------------------------------------
 _P3 = "lower(array_to_string(contexts[1:3], ' '))"
 _FIRST = "lower(contexts[1])"

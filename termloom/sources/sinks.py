@@ -38,9 +38,9 @@ def record_step(spark: SparkSession, manifest: str, step: int, name: str, path:
 
 
 def finished_steps(spark: SparkSession, manifest: str) -> DataFrame:
-    """(step, name, path): the last record of each step that has rows."""
+    """(step, name, path, rows): the last record of each step; a step is recorded only once its table is complete."""
     last = spark.read.schema(MANIFEST).parquet(manifest).groupBy("step").agg(F.max_by(F.struct("name", "path", "rows"), "recorded_at").alias("r"))
-    return last.select("step", "r.*").where("rows > 0")
+    return last.select("step", "r.*")
 
 
 def stage(spark: SparkSession, manifest: str, step: int, name: str, path: str, build) -> DataFrame:
