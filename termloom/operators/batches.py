@@ -38,9 +38,8 @@ def missing_numbers(batches: DataFrame) -> DataFrame:
 
 
 def ranges(numbers: DataFrame) -> DataFrame:
-    """(first, last, n, label) of runs of consecutive numbers; numbers are few: one for each missing batch."""
-    run = F.col("batch_id") - F.row_number().over(Window.orderBy("batch_id"))
-    islands = numbers.withColumn("run", run).groupBy("run").agg(F.min("batch_id").alias("first"), F.max("batch_id").alias("last"), F.count("*").alias("n"))
+    """(first, last, n, label) of runs of consecutive distinct numbers: number minus place is the same within a run."""
+    islands = numbered(numbers, "batch_id").withColumn("run", F.col("batch_id") - F.col("rn")).groupBy("run").agg(F.min("batch_id").alias("first"), F.max("batch_id").alias("last"), F.count("*").alias("n"))
     label = F.when(F.col("first") == F.col("last"), F.col("first").cast("string")).otherwise(F.concat_ws("-", "first", "last"))
     return islands.select("first", "last", "n", label.alias("label"))
 

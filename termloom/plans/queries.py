@@ -105,10 +105,10 @@ SELECT term, CAST(count(*) AS BIGINT) AS frequency, CAST(count(DISTINCT doc_id)
 def term_extract_freq(spark, d):
     """Cleaned words of all documents with their counts."""
     w = X.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("w"))
-    # one row for each word of a document before anything is cleaned or counted across documents
-    per = w.groupBy("w", "doc_id").agg(F.count("*").alias("n")).groupBy("w").agg(F.sum("n").alias("n"), F.collect_set("doc_id").alias("docs"))
-    c = per.select(T.clean_term(F.col("w")).alias("term"), "n", "docs").where("term is not null")
-    return c.groupBy("term").agg(F.sum("n").alias("frequency"), F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).cast("long").alias("n_documents"))
+    # counted within documents before the shuffle, and cleaned once for each distinct word of a document
+    per = w.groupBy("doc_id", "w").agg(F.count("*").alias("n"))
+    c = per.select("doc_id", T.clean_term(F.col("w")).alias("term"), "n").where("term is not null")
+    return c.groupBy("doc_id", "term").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum("n").alias("frequency"), F.count("*").alias("n_documents"))
 
 
 @query(f"SELECT doc_id, {_clean('left(text, 60)')} AS term FROM documents")
@@ -258,7 +258,9 @@ SELECT lang, round(-sum(p * ln(p)), 6) AS entropy, count(*) AS types FROM p GROU
 def source_entropy(spark, d):
     """The spread of each language over sources, from two levels of counts."""
     counts = X.table(spark, d, "documents").groupBy("lang", "source").count()
-    return counts.groupBy("lang").agg(F.round(T.entropy(F.transform(F.array_sort(F.collect_list("count")), lambda x: x.cast("double"))), 6).alias("entropy"), F.count("*").alias("types"))
+    k = F.col("count").cast("double")
+    # ln N - sum(k ln k) / N: sums only, so a language of very many sources is never gathered
+    return counts.groupBy("lang").agg(F.round(F.ln(F.sum(k)) - F.sum(k * F.ln(k)) / F.sum(k), 6).alias("entropy"), F.count("*").alias("types"))
 
 
 # joins ----------------------------------------------------------------------------------------
