@@ -265,10 +265,10 @@ def source_entropy(spark, d):
 
 # joins ----------------------------------------------------------------------------------------
 @query(f"""
-WITH g AS ({X.GLOSSARY}), f AS (SELECT DISTINCT doc_id, source AS term, 'glossary' AS kind FROM documents, (SELECT DISTINCT source FROM g WHERE pair = 'ENG-DEU') WHERE contains(text, source)),
-n AS (SELECT DISTINCT doc_id, source AS term, 'dnt' AS kind FROM documents, (SELECT DISTINCT source FROM g WHERE pair = 'DNT') AS x WHERE contains(text, source))
+WITH g AS ({X.GLOSSARY}), f AS (SELECT DISTINCT doc_id, g.source AS term, 'glossary' AS kind FROM documents JOIN g ON contains(text, g.source) WHERE pair = 'ENG-DEU'),
+n AS (SELECT DISTINCT doc_id, g.source AS term, 'dnt' AS kind FROM documents JOIN g ON contains(text, g.source) WHERE pair = 'DNT')
 SELECT * FROM f UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = n.doc_id AND f.term = n.term)
-""".replace("source AS term, 'glossary' AS kind FROM documents, (SELECT DISTINCT source FROM g WHERE pair = 'ENG-DEU')", "x.source AS term, 'glossary' AS kind FROM documents, (SELECT DISTINCT source FROM g WHERE pair = 'ENG-DEU') AS x").replace("source AS term, 'dnt'", "x.source AS term, 'dnt'").replace("contains(text, source)", "contains(text, x.source)"))
+""")
 def glossary_contains(spark, d):
     return glossary.used_terms(X.table(spark, d, "documents").select("doc_id", "text"), _glossary(spark, d), "ENG-DEU")
 
@@ -311,10 +311,17 @@ def domain_related(spark, d):
     return glossary.related(_terms(spark, d), _glossary(spark, d)).withColumn("related", F.array_join("related", ","))
 
 
-@query(f"""
-SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(left(text, 500), 'ation', '__DNT_PLACEHOLDER_0__'), 'that', '__DNT_PLACEHOLDER_1__'), 'ou', '__DNT_PLACEHOLDER_2__'),
- 'ation', 'ierung'), 'thing', 'Ding'), 'bolt', 'Bolzen'), 'ing', 'end'), 'the', 'die'), '__DNT_PLACEHOLDER_0__', 'ation'), '__DNT_PLACEHOLDER_1__', 'that') AS part FROM documents
-""".replace("AS part FROM documents", "AS part FROM documents").replace("SELECT doc_id, replace(", "SELECT doc_id, replace(replace(", 1).replace("'__DNT_PLACEHOLDER_1__', 'that') AS part", "'__DNT_PLACEHOLDER_1__', 'that'), '__DNT_PLACEHOLDER_2__', 'ou') AS replaced"))
+def _nested_replace(x: str, pairs) -> str:
+    for a, b in pairs:
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+_PLACEHOLDERS = [(t, f"__DNT_PLACEHOLDER_{i}__") for i, t in enumerate(("ation", "that", "ou"))]
+_REPLACED = _nested_replace("left(text, 500)", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
+
+
+@query(f"SELECT doc_id, {_REPLACED} AS replaced FROM documents")
 def replace_terms(spark, d):
     g = glossary.glossary_array(_glossary(spark, d), "ENG-DEU")
     docs = X.table(spark, d, "documents").select("doc_id", F.substring("text", 1, 500).alias("text"))
@@ -362,6 +369,24 @@ def step_join_dedup(spark, d):
     return decide.join_steps(v, c.where("role = 'assistant'").select("term", "index", F.col("text").alias("last_text")))
 
 
+@query(f"""
+WITH g AS ({X.GLOSSARY}), u AS (SELECT DISTINCT doc_id, g.source AS term, CASE WHEN pair = 'DNT' THEN 'dnt' ELSE 'glossary' END AS kind FROM documents JOIN g ON contains(text, g.source) WHERE pair IN ('ENG-DEU', 'DNT')),
+k AS (SELECT * FROM u WHERE kind = 'glossary' UNION ALL SELECT * FROM u WHERE kind = 'dnt' AND NOT EXISTS (SELECT 1 FROM u v WHERE v.doc_id = u.doc_id AND v.term = u.term AND v.kind = 'glossary')),
+t AS (SELECT source, arg_max(target, load_order) AS target FROM g WHERE pair = 'ENG-DEU' GROUP BY source)
+SELECT k.doc_id, k.term, k.kind, CASE WHEN kind = 'dnt' THEN k.term ELSE t.target END AS translation FROM k LEFT JOIN t ON t.source = k.term
+""")
+def term_details(spark, d):
+    g = _glossary(spark, d)
+    return glossary.term_details(glossary.used_terms(X.table(spark, d, "documents").select("doc_id", "text"), g, "ENG-DEU"), g, "ENG-DEU")
+
+
+@query(f"""
+WITH g AS ({X.GLOSSARY}), x AS (SELECT pair, source, target FROM g UNION ALL SELECT p, s, t FROM (VALUES {", ".join(f"('{s}', '{t}')" for s, t in L.DEFAULT_GLOSSARY.items())}) AS v(s, t), (VALUES ('EN-CS'), ('en-cs')) AS q(p)) SELECT * FROM x
+""")
+def glossary_default(spark, d):
+    return glossary.with_default(_glossary(spark, d)).select("pair", "source", "target")
+
+
 # lexicon --------------------------------------------------------------------------------------
 def _dict(x: str) -> str:
     return _first(
@@ -492,6 +517,26 @@ def translate_guards(spark, d):
     return translation.guarded(rows, valid, translation.glossary_translator(g)).select("term", "language", "error", "translation", "is_same")
 
 
+@query(f"""
+WITH t AS (SELECT term, {KIND} AS kind, language FROM ({X.TRANSLATIONS}) AS x), s AS (SELECT term, list(language) FILTER (WHERE kind <> 'error') AS done, count(*) FILTER (WHERE kind = 'translated') AS tr, count(*) FILTER (WHERE kind <> 'error') AS ok FROM t GROUP BY term)
+SELECT term, CASE WHEN ok > 0 AND tr / ok > 0.98 THEN 20 ELSE 0 END AS n FROM s
+""")
+def language_expansion(spark, d):
+    s = translation.summary(_translations(spark, d))
+    return s.select("term", F.size(translation.expansion(F.col("translatability_score"), F.array_union("same_language_codes", "translated_language_codes"))).alias("n"))
+
+
+@query(f"""
+WITH t AS (SELECT *, {KIND} AS kind, {ISSUE} AS issue FROM ({X.TRANSLATIONS}) AS x), s AS (SELECT term, count(*) FILTER (WHERE kind = 'translated') AS a, count(*) FILTER (WHERE kind = 'translated' AND (issue IS NULL OR issue = 'suspicious_length')) AS b,
+ count(*) FILTER (WHERE issue IS NULL OR issue = 'suspicious_length') AS v FROM t GROUP BY term)
+SELECT term, round(CASE WHEN a > 0 AND v > 0 THEN b / a ELSE 0.0 END, 6) AS consistency FROM s
+""")
+def step_consistency(spark, d):
+    rows = _translations(spark, d)
+    both = translation.summary(rows).select("term", "translated_language_codes").join(translation.verified(rows).select("term", "verified_languages"), "term")
+    return both.select("term", translation.consistency(F.col("translated_language_codes"), F.col("verified_languages")).alias("consistency"))
+
+
 # features and scores --------------------------------------------------------------------------
 _LOW = "lower(term)"
 CHARS = {
@@ -836,6 +881,18 @@ def json_integrity(spark, d):
     return e.select("event_id", readers.json_ok(F.when(F.col("event_id") % 3 == 0, F.substring("props", 1, 3)).otherwise(F.col("props"))).alias("valid"))
 
 
+@query(f"{DECISIONS} SELECT term, 'needs_review' AS status, 0.5::DOUBLE AS final_score FROM dd ORDER BY frequency, term LIMIT 100")
+def fallback_decisions(spark, d):
+    return decide.fallback_decisions(_decisions(spark, d).withColumn("index", F.col("frequency")))
+
+
+@query(r"""
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '\[/?[a-zA-Z0-9_-]+\]', '', 'g'), '[\[\]]', '', 'g'), '<[^>]*>', '', 'g'), '&[a-zA-Z0-9#]+;', ' ', 'g'), '\s+', ' ', 'g') AS cleaned FROM pages
+""")
+def json_text_clean(spark, d):
+    return X.table(spark, d, "pages").select("page_id", T.json_text_clean(F.col("html")).alias("cleaned"))
+
+
 # export ---------------------------------------------------------------------------------------
 _P3 = "lower(array_to_string(contexts[1:3], ' '))"
 _FIRST = "lower(contexts[1])"
