@@ -97,9 +97,12 @@ def verdict(terms: DataFrame, g: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def related(terms: DataFrame, g: DataFrame, each: int = 5) -> DataFrame:
     """(term, duplicates, related): equal sources, and sources that hold or are held by the term, up to each for a pair."""
-    g = g.select("pair", "source").distinct()
     low_t, low_s = F.lower("term"), F.lower("source")
-    hits = terms.select("term").distinct().join(F.broadcast(g), low_s.contains(low_t) | low_t.contains(low_s))
+    s = g.select("pair", "source").distinct().withColumn("low_s", low_s)
+    t = terms.select("term").distinct().withColumn("low_t", low_t)
+    # either way by contained(), which checks the size of the side it broadcasts
+    inside, around = contained(t, s, text="low_t", term="low_s"), contained(s, t, text="low_s", term="low_t")
+    hits = inside.unionByName(around).select("term", "pair", "source").distinct()
     rank = F.row_number().over(Window.partitionBy("term", "pair").orderBy("source"))
     ranked = hits.withColumn("rank", rank)
     return ranked.groupBy("term").agg(F.count_if(low_t == low_s).alias("duplicates"), F.array_sort(F.collect_set(F.when(F.col("rank") <= each, F.col("source")))).alias("related"))
