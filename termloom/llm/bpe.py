@@ -17,7 +17,9 @@ import codecs
 import functools
 import hashlib
 import heapq
+import itertools
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -31,7 +33,7 @@ _MASK = (1 << _SHIFT) - 1
 _NONE = 1 << 62
 BLOCK = 4096
 CACHED = 64
-CACHE = 100_000
+CACHE = 150_000
 
 
 def byte_symbols() -> list[str]:
@@ -55,6 +57,7 @@ class Merges:
         self.token = [""] * size
         for k, v in [*vocab.items(), *self.special.items()]:
             self.token[v] = k
+        self.whole = all(self.token)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.pairs = {vocab[a] << _SHIFT | vocab[b]: rank << _SHIFT | vocab[a + b] for rank, (a, b) in enumerate(merges)}
         chars = byte_symbols()
@@ -95,24 +98,18 @@ class Merges:
         if len(s) > CACHED:
             return self._merge_long(s)
         get = self.pairs.get
-        while len(s) > 1:
-            ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(s, s[1:])]
+        ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(s, s[1:])]
+        while ranks:
             best = min(ranks)
             if best == _NONE:
                 break
-            if ranks.count(best) == 1:
-                i = ranks.index(best)
-                s[i : i + 2] = [best & _MASK]
-                continue
-            out, i, n = [], 0, len(ranks)
-            while i <= n:
-                if i < n and ranks[i] == best:
-                    out.append(best & _MASK)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            s = out
+            i = ranks.index(best)
+            s[i] = new = best & _MASK
+            del s[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(new << _SHIFT | s[i + 1], _NONE)
+            if i:
+                ranks[i - 1] = get(s[i - 1] << _SHIFT | new, _NONE)
         return s
 
     def _merge_long(self, s: list[int]) -> list[int]:
@@ -196,6 +193,10 @@ class WordTransducer:
 
 #: The split pattern of the public tokenizer file.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Texts of Latin letters, ASCII digits and common marks need no Unicode properties: the same split in plain classes.
+_COMPLEX = re.compile("[^\t-\r -\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f\u2010-\u2027\u2030-\u203a]")
+_LATIN = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SIMPLE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^\s{_LATIN}0-9]+")
 _LAST_SPACE = regex.compile(r"(?r)\s")
 _RARE = regex.compile(r"[^\u0000-\u0557\u2000-\u203a一-鿿]")
 #: Characters that never change, or are changed by, what stands before them under NFC.
@@ -217,6 +218,8 @@ def _split_without(odd: str) -> regex.Pattern:
 
 def split(text: str) -> list[str]:
     """The words of normalised text. Characters without a category in this Python's Unicode are no letters."""
+    if not _COMPLEX.search(text):
+        return _SIMPLE.findall(text)
     if _RARE.search(text):
         odd = "".join(sorted(c for c in set(text) if unicodedata.category(c) == "Cn"))
         if odd:
@@ -300,9 +303,7 @@ class StreamEncoder:
                 last = ""
             else:
                 self.run = (kind, WordTransducer(self.m))
-        cache = self.m._cache
-        for w in words:
-            ids += cache[w]
+        ids += itertools.chain.from_iterable(map(self.m._cache.__getitem__, words))
         if more and self.run:
             ids += self.run[1].push(last.encode())
 
@@ -318,13 +319,14 @@ class StreamDecoder:
 
     def __init__(self, merges: Merges, mode: str = "join") -> None:
         self.m, self.mode, self.first = merges, mode, True
+        self.whole = merges.whole
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
         self.byte = {c: b for b, c in enumerate(byte_symbols())}
 
     def feed(self, ids: Iterable[int]) -> str:
         token = self.m.token
         if self.mode == "join":
-            out = " ".join([token[i] for i in ids if 0 <= i < len(token) and token[i]])
+            out = " ".join([token[i] for i in ids] if self.whole else [token[i] for i in ids if 0 <= i < len(token) and token[i]])
             if out and not self.first:
                 out = " " + out
             self.first = self.first and not out
