@@ -6,9 +6,12 @@ in lower case. Texts are joined with a line break, so no word or n-gram spans tw
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 _MUL = U64(0x9E3779B97F4A7C15)
@@ -39,6 +42,13 @@ def _power(n: int, inverse: bool) -> np.ndarray:
     return _powers[key][:n]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on for other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(texts: list, limit: int = 1 << 19, most: int = 1 << 14) -> Iterator[tuple[int, int]]:
     """Ranges of at most most texts with about limit characters; a longer text has a range of its own."""
     at = size = 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import U64, VISIBLE, Words, chunks, mix
+from ._text import U64, VISIBLE, Words, _power, chunks, mix, release
 from .toxicity import held_out, labelled_sample
 
 BITS = 16
@@ -51,8 +51,6 @@ def features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     short = object.__new__(Words)
     short.buf = shape[keep]
     short.sums = np.zeros(len(short.buf) + 1, U64)
-    from ._text import _power
-
     np.cumsum((short.buf.astype(U64) + U64(1)) * _power(len(short.buf), False), out=short.sums[1:])
     form = short.spans(place[words.start], end)
     n = len(form)
@@ -149,6 +147,7 @@ def _scored(batches, model: Model, cut: int):
         expected, tails = predict(batch.column(1).to_pylist(), model)
         tail = tails[:, cut] if tails.shape[1] else np.ones(len(expected))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(expected), pa.array(tail)], names=["id", "expected_grade", "tail"])
+        release()
 
 
 def quality(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", least: float | None = None, tail: float = 0.5) -> DataFrame:
@@ -172,5 +171,6 @@ def filter_kept(df: DataFrame, model: Model, *, text_col: str = "text", tail: fl
         for batch in batches:
             _, tails = predict(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array(tails[:, -1] >= tail) if tails.shape[1] else pa.array([True] * batch.num_rows))
+            release()
 
     return df.mapInArrow(keep, df.schema)

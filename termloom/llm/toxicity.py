@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import Words, chunks
+from ._text import U64, Words, _power, chunks, release
 
 SIZES = (3, 4, 5)
 BITS = 17
@@ -55,8 +55,6 @@ def _marked(texts: list) -> Words:
     out.__dict__ |= words.__dict__
     pad = np.concatenate([[32], buf, np.full(max(SIZES), 32)]).astype(np.uint8)
     out.buf, out.start, out.end = pad, words.start + 1, words.end + 1
-    from ._text import U64, _power
-
     out.sums = np.zeros(len(pad) + 1, U64)
     np.cumsum((pad.astype(U64) + U64(1)) * _power(len(pad), False), out=out.sums[1:])
     return out
@@ -224,6 +222,7 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
 def _scored(batches, model: Model):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score(batch.column(1).to_pylist(), model))], names=["id", "score"])
+        release()
 
 
 def toxicity(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -246,5 +245,6 @@ def filter_clean(df: DataFrame, model: Model, *, text_col: str = "text", thresho
     def keep(batches):
         for batch in batches:
             yield batch.filter(pa.array(score(batch.column(at).to_pylist(), small) < threshold))
+            release()
 
     return df.mapInArrow(keep, df.schema)
