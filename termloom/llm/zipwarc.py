@@ -117,7 +117,8 @@ def central_directory(size: int, read) -> list[Member]:
     tail_at = max(0, size - 22 - 65535 - 20)
     tail = read(tail_at, size - tail_at)
     at = tail.rfind(b"PK\x05\x06")
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail) if at >= 0 and at + 22 <= len(tail) else at >= 0:
+    # the end record is the last one whose comment reaches to the end of the file
+    while at >= 0 and not (at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail)):
         at = tail.rfind(b"PK\x05\x06", 0, at)
     if at < 0:
         raise BadArchive("no end of central directory")
