@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from ._components import components
 from ._spark import cut
-from ._text import U64, Words, chunks, distinct, mix, shingles
+from ._text import U64, Words, chunks, distinct, mix, release, shingles
 
 WIDTH, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 5
 #: Shingles of a block of documents that are compared in one task.
 BLOCK = 1_000_000
+#: Pairs of one representative that are verified in one part.
+HOT = 512
 
 
 def darts(docs: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_docs: int, coordinates: int) -> np.ndarray:
@@ -95,9 +97,11 @@ def _sketches(batches, width: int, bands: int, rows: int, weight: str):
                 [ids.slice(lo, n), pa.array(size), pa.array(same.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))],
                 names=["id", "size", "same", "keys"],
             )
+        del ids, texts, batch
+        release()
 
 
-def _similar(batches, width: int, weight: str, threshold: float):
+def _similar(batches, width: int, weight: str):
     """Exact weighted Jaccard similarity of the two texts of each row."""
 
     def of(text):
@@ -117,6 +121,8 @@ def _similar(batches, width: int, weight: str, threshold: float):
             both = np.minimum(w[x], kept[1][y]).sum()
             share[i] = both / (w.sum() + kept[1].sum() - both)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "share"])
+        del ta, tb, batch
+        release()
 
 
 def _overlaps(rows: list[tuple], left: np.ndarray, right: np.ndarray, size: np.ndarray, threshold: float, eligible: np.ndarray):
@@ -178,14 +184,19 @@ def _block(table: pa.Table, width: int, weight: str, threshold: float) -> pa.Tab
     return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, weight: str, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, width: int, weight: str) -> DataFrame:
     """pairs (a, b) with their exact similarity; texts (id, text), one row for each id.
 
     The pairs leave the join ordered by b, so a much-used b is shingled once for a run of rows.
+    A b with more than HOT pairs is salted: its pairs are dealt to parts, its text to each part.
     """
+    hot = pairs.groupBy("b").agg(F.ceil(F.count("*") / HOT).cast("int").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    salted = pairs.select("a", "b").join(hot, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), parts).cast("int").alias("salt"))
     ta, tb = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(lambda it: _similar(it, width, weight, threshold), "a long, b long, share double")
+    tb = tb.join(pairs.select("b").distinct(), "b", "left_semi").join(hot, "b", "left").select("b", "tb", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))
+    both = salted.join(ta, "a").join(tb, ["b", "salt"]).select("a", "b", "ta", "tb")
+    return both.mapInArrow(lambda it: _similar(it, width, weight), "a long, b long, share double")
 
 
 def near_duplicates(
@@ -211,7 +222,8 @@ def near_duplicates(
     classes = cut(groups.select("rep", "size", "keys", "same"))
     copies = sketch.join(classes.select("same", "size", "rep"), ["same", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     rows_ = classes.select("rep", "size", F.explode("keys").alias("key"))
-    leads = rows_.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
+    # written before it is joined, so that a bucket with very many members can be split in the join
+    leads = cut(rows_.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead"))
     members = cut(rows_.join(leads, "key").select("key", "lead", "rep", "size"))
     size_of = classes.select(F.col("rep").alias("lead"), F.col("size").alias("lead_size"))
     fits = (F.least("size", "lead_size") >= F.lit(threshold) * F.greatest("size", "lead_size"))
@@ -219,12 +231,12 @@ def near_duplicates(
     stars = cut(stars)
     named = stars.select(F.col("a").alias("id")).union(stars.select(F.col("b").alias("id"))).distinct()
     texts = usable.join(named, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
-    tested = cut(verified(stars, texts, width, weight, threshold))
+    tested = cut(verified(stars, texts, width, weight))
     linked = tested.where(F.col("share") >= threshold).select("a", "b")
     comp = components(linked)
     # what the stars leave open: members of a bucket in different components, tested in blocks
     at = members.join(comp.select(F.col("id").alias("rep"), F.col("component")), "rep", "left").withColumn("component", F.coalesce("component", "rep")).where("rep <> lead")
-    wide = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("size").alias("total")).where("x <> y").select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("n"))
+    wide = cut(at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("size").alias("total")).where("x <> y").select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("n")))
     mine = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")
     spread = at.join(wide, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     spread = spread.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component")

@@ -43,6 +43,7 @@ def test_components_equal_brute_force(spark, weight):
 def test_blocks_find_links_between_bucket_members(spark, monkeypatch):
     """A chain whose ends aren't similar, in blocks of very few documents."""
     monkeypatch.setattr(dm, "BLOCK", 600)
+    monkeypatch.setattr(dm, "HOT", 3)
     r = helpers.rng(3)
     base = [f"w{i}" for i in range(200)]
     texts, w = [], list(base)
