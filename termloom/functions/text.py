@@ -65,7 +65,8 @@ def clean_term(c: Column) -> Column:
     """Trim; null for fewer than two characters or digits only; drop signs; single spaces; empty is null."""
     t = strip(c)
     cleaned = strip(F.regexp_replace(F.regexp_replace(t, NOT_ALLOWED, ""), r"(?U)\s+", " "))
-    return F.when((F.length(t) >= 2) & ~t.rlike(r"^\p{Nd}+$") & (cleaned != ""), cleaned)
+    # words of letters only, most of a text, are clean as they stand
+    return F.when(c.rlike(r"^\p{L}{2,}\z"), c).when((F.length(t) >= 2) & ~t.rlike(r"^\p{Nd}+$") & (cleaned != ""), cleaned)
 
 
 def split_terms(c: Column) -> Column:

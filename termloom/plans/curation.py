@@ -12,7 +12,8 @@ from ..operators import decide, dictionary, generic, scoring
 
 def document_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(term, frequency): cleaned words and the number of documents they occur in."""
-    w = docs.select(id_col, F.explode(F.array_distinct(F.transform(F.split(text_col, r"\s+"), T.clean_term))).alias("term")).where("term is not null")
+    words = docs.select(id_col, F.explode(F.array_distinct(F.split(text_col, r"\s+"))).alias("word"))
+    w = words.select(id_col, T.clean_term(F.col("word")).alias("term")).where("term is not null")
     return w.groupBy("term").agg(F.count_distinct(F.col(id_col)).alias("frequency"))
 
 
