@@ -78,6 +78,7 @@ def _first(rules, other: str) -> str:
 JOINED = "lower(array_to_string(contexts, ' '))"
 N_CTX = "len(contexts)"
 TERM_FIELD = "replace(left(text, 400), ' ', CASE WHEN doc_id % 3 = 0 THEN '|' WHEN doc_id % 3 = 1 THEN ',' ELSE ' ' END)"
+TERM_FIELD_WHOLE = "replace(text, ' ', CASE WHEN doc_id % 3 = 0 THEN '|' WHEN doc_id % 3 = 1 THEN ',' ELSE ' ' END)"
 
 
 def _terms(spark, d):
@@ -117,6 +118,12 @@ def clean_term(spark, d):
     return X.table(spark, d, "documents").select("doc_id", T.clean_term(F.substring("text", 1, 60)).alias("term"))
 
 
+@query(f"SELECT doc_id, {_clean('text')} AS term FROM documents")
+def clean_term_whole(spark, d):
+    """Each document, cleaned as a whole."""
+    return X.table(spark, d, "documents").select("doc_id", T.clean_term(F.col("text")).alias("term"))
+
+
 @query(f"""
 WITH f AS (SELECT doc_id, {TERM_FIELD} AS v FROM documents),
 p AS (SELECT doc_id, unnest(CASE WHEN contains(v, '|') THEN string_split(v, '|') WHEN contains(v, ',') THEN string_split(v, ',') ELSE [v] END) AS x FROM f),
@@ -130,6 +137,19 @@ def parse_term_field_split(spark, d):
     return terms.row_terms(docs, ["Final_Curated_Terms"], [], "doc_id").select("source_row", "term", "frequency")
 
 
+@query(f"""
+WITH f AS (SELECT doc_id, {TERM_FIELD_WHOLE} AS v FROM documents),
+p AS (SELECT doc_id, unnest(CASE WHEN contains(v, '|') THEN string_split(v, '|') WHEN contains(v, ',') THEN string_split(v, ',') ELSE [v] END) AS x FROM f),
+c AS (SELECT DISTINCT doc_id, {_clean("x")} AS term FROM p)
+SELECT doc_id AS source_row, term, CAST(1 AS BIGINT) AS frequency FROM c WHERE term IS NOT NULL
+""")
+def parse_term_field_split_whole(spark, d):
+    """Terms of a field that holds the whole text, each once for a row."""
+    field = F.replace("text", F.lit(" "), F.when(F.col("doc_id") % 3 == 0, "|").when(F.col("doc_id") % 3 == 1, ",").otherwise(" "))
+    docs = X.table(spark, d, "documents").select("doc_id", field.alias("Final_Curated_Terms"))
+    return terms.row_terms(docs, ["Final_Curated_Terms"], [], "doc_id").select("source_row", "term", "frequency")
+
+
 @query("SELECT doc_id, left(coalesce(CASE WHEN doc_id % 4 = 0 THEN NULL ELSE text END, CASE WHEN doc_id % 8 = 0 THEN NULL ELSE lang END, source), 200) AS picked FROM documents")
 def pick_text(spark, d):
     docs = X.table(spark, d, "documents")
@@ -245,12 +265,33 @@ def cleaned_context(spark, d):
     return t.select("term", "frequency", F.size("contexts").alias("n_texts"), F.array_join("pos_tags", ",").alias("tags"))
 
 
+CLEANED_WHOLE = "SELECT p_name AS term, p_size AS frequency, p_type AS original_text, p_partkey AS source_row, p_brand AS pos_tag FROM {part}"
+
+
+@query(f"""
+WITH c AS ({CLEANED_WHOLE}), n AS (SELECT DISTINCT term FROM ({X.TERMS}) AS t)
+SELECT n.term, CAST(coalesce(arg_min(c.frequency, c.source_row), 1) AS BIGINT) AS frequency, count(c.original_text) AS n_texts, coalesce(string_agg(DISTINCT c.pos_tag, ',' ORDER BY c.pos_tag), '') AS tags
+FROM n LEFT JOIN c ON c.term = n.term GROUP BY n.term
+""")
+def cleaned_context_whole(spark, d):
+    """All terms against all parts; terms of other columns and tables have no cleaned row."""
+    t = terms.with_contexts(_terms(spark, d), X.fixture(spark, d, CLEANED_WHOLE))
+    return t.select("term", "frequency", F.size("contexts").alias("n_texts"), F.array_join("pos_tags", ",").alias("tags"))
+
+
 @query("SELECT doc_id AS term, 'old' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'new' FROM labels WHERE doc_id % 2 <> 0 OR doc_id NOT IN (SELECT doc_id FROM documents)")
 def merge_new(spark, d):
     old = X.table(spark, d, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("term"), F.lit("old").alias("origin"))
     return terms.merge_new(old, X.table(spark, d, "labels").select(F.col("doc_id").alias("term"), F.lit("new").alias("origin")))
 
 
+@query("SELECT doc_id AS term, 'old' AS origin FROM labels UNION ALL SELECT doc_id, 'new' FROM documents AS d WHERE NOT EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)")
+def merge_new_whole(spark, d):
+    """All labelled documents, and every other document as new."""
+    old = X.table(spark, d, "labels").select(F.col("doc_id").alias("term"), F.lit("old").alias("origin"))
+    return terms.merge_new(old, X.table(spark, d, "documents").select(F.col("doc_id").alias("term"), F.lit("new").alias("origin")))
+
+
 @query("""
 WITH c AS (SELECT lang, source, count(*) AS k FROM documents GROUP BY 1, 2), p AS (SELECT lang, k / sum(k) OVER (PARTITION BY lang) AS p FROM c)
 SELECT lang, round(-sum(p * ln(p)), 6) AS entropy, count(*) AS types FROM p GROUP BY lang
@@ -319,6 +360,7 @@ def _nested_replace(x: str, pairs) -> str:
 
 _PLACEHOLDERS = [(t, f"__DNT_PLACEHOLDER_{i}__") for i, t in enumerate(("ation", "that", "ou"))]
 _REPLACED = _nested_replace("left(text, 500)", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
+_REPLACED_WHOLE = _nested_replace("text", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
 
 
 @query(f"SELECT doc_id, {_REPLACED} AS replaced FROM documents")
@@ -328,6 +370,14 @@ def replace_terms(spark, d):
     return docs.crossJoin(F.broadcast(g)).select("doc_id", glossary.replace_terms(F.col("text"), F.col("pairs"), F.col("dnt")).alias("replaced"))
 
 
+@query(f"SELECT doc_id, {_REPLACED_WHOLE} AS replaced FROM documents")
+def replace_terms_whole(spark, d):
+    """Replacements throughout each document."""
+    g = glossary.glossary_array(_glossary(spark, d), "ENG-DEU")
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    return docs.crossJoin(F.broadcast(g)).select("doc_id", glossary.replace_terms(F.col("text"), F.col("pairs"), F.col("dnt")).alias("replaced"))
+
+
 QC = "SELECT p_brand AS file, CASE WHEN p_partkey % 11 = 0 THEN ' ' || p_name WHEN p_partkey % 13 = 0 THEN '  ' ELSE p_name END AS source, CASE WHEN p_partkey % 7 = 0 THEN p_type || '\"' ELSE p_type END AS target FROM {part}"
 
 
@@ -756,6 +806,7 @@ def kwic(spark, d):
 
 
 ANSWERS = "SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'Term found in glossary' WHEN 1 THEN 'No terms found here' WHEN 2 THEN 'Error code: 429 rate limit' WHEN 3 THEN '502 Bad Gateway' ELSE 'it exists; access token Expired' END || ' ' || left(text, 20) AS answer FROM {conversations}"
+ANSWERS_WHOLE = "SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'Term found in glossary' WHEN 1 THEN 'No terms found here' WHEN 2 THEN 'Error code: 429 rate limit' WHEN 3 THEN '502 Bad Gateway' ELSE 'it exists; access token Expired' END || ' ' || text AS answer FROM {conversations}"
 _ERRORS = _first([(_any("lower(answer)", signs), f"'{name}'") for name, signs in glossary.ERRORS], "NULL")
 _NO = ("no recognized glossary terminology terms were found", "no glossary terms", "no terms found", "not found", "analysis failed", "authentication issues", "requires manual review", "rate limit", "error code: 429")
 
@@ -766,6 +817,13 @@ def answer_classes(spark, d):
     return a.select("conv_id", "turn", glossary.answer_found(F.col("answer")).alias("hit"), glossary.error_class(F.col("answer")).alias("error_class"))
 
 
+@query(f"WITH a AS ({ANSWERS_WHOLE}) SELECT conv_id, turn, NOT ({_any('lower(answer)', _NO)} OR (contains(lower(answer), 'error') AND contains(lower(answer), 'failed'))) AND (contains(lower(answer), 'found') OR contains(lower(answer), 'exists')) AS hit, {_ERRORS} AS error_class FROM a")
+def answer_classes_whole(spark, d):
+    """Answers that hold the whole text of each turn."""
+    a = X.fixture(spark, d, ANSWERS_WHOLE)
+    return a.select("conv_id", "turn", glossary.answer_found(F.col("answer")).alias("hit"), glossary.error_class(F.col("answer")).alias("error_class"))
+
+
 # store ----------------------------------------------------------------------------------------
 STORE_SQL = f"""
 WITH a AS ({X.ARRIVALS}), r AS (SELECT *, left(md5(lower(term)), 16) AS term_id, row_number() OVER (PARTITION BY lower(term) ORDER BY seq) AS rn FROM a),
