@@ -48,6 +48,18 @@ def test_table_form_agrees_with_the_driver_form(spark):
     assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
 
 
+def test_table_form_keeps_rounds_budget_and_targets(spark, monkeypatch):
+    """With default rounds both forms give the same rates, with a budget (one that clips) and with targets."""
+    df = spark.createDataFrame([("a", "x", 900), ("a", "y", 300), ("b", "x", 310), ("b", "y", 110)], "source string, lang string, tokens long")
+    for more in ({}, {"budget": 1000.0}, {"budget": 1500.0}, {"targets": {"lang": {"x": 2.0, "z": 1.0}}}):
+        driver, table = ({(r.source, r.lang): r.rate for r in mixing.cell_rates(df, ["source", "lang"], driver_cells=n, **more).collect()} for n in (100, 0))
+        assert driver.keys() == table.keys() and max(abs(driver[k] - table[k]) for k in driver) < 1e-10
+    given = []
+    monkeypatch.setattr(mixing, "_raked_table", lambda cells, dims, alpha, targets, rounds: given.append(rounds) or cells.withColumn("factor", F.lit(1.0)))
+    mixing.cell_rates(df, ["source", "lang"], driver_cells=0)
+    assert given == [200]
+
+
 def test_sample_keeps_rows_and_targets(spark):
     df = docs(spark)
     kept = {r.doc_id for r in mixing.mixed(df).collect() if r.kept}
