@@ -1,8 +1,8 @@
 """Chat formatting by quotation linking, in DataFrame functions only.
 
 Messages are cut into lines; a line's quote level is the number of > marks before its text.
-Runs of lines of one level are quoted passages. Passages and their lines are normalised, hashed
-and joined to the bodies, paragraphs and lines of earlier messages of the same conversation; the
+Runs of lines of one level are quoted passages. Passages, their paragraphs and lines are
+normalised, hashed and joined to the bodies, paragraphs and lines of earlier messages of the same conversation; the
 latest earlier message that has the text is linked. A turn replies to the message that its
 outermost quotes cover most of, or else to the turn before it. Messages come back without
 quotes, in reply order: by their distance from the conversation's start, then by turn.
@@ -20,8 +20,9 @@ from pyspark.sql.window import Window
 from ._spark import cut
 
 MARKS = r"^(?:[ \t]{0,3}>)+[ \t]?"
-#: Turns of a block; shortest normalised text that links.
-TURNS, SHORTEST = 1024, 12
+PARAGRAPHS = r"\n[ \t]*\n"
+#: Turns of a block.
+TURNS = 1024
 
 
 def normalised(text: Column) -> Column:
@@ -46,21 +47,22 @@ def bodies(df: DataFrame) -> DataFrame:
 
 
 def _quotes(lines: DataFrame) -> DataFrame:
-    """(conv, turn, level, hash, weight): quoted runs and their lines."""
+    """(conv, turn, level, hash, weight): quoted runs, their paragraphs (between blank quoted lines) and lines."""
     quoted = lines.where("level > 0")
     run = F.col("at") - F.row_number().over(Window.partitionBy("conv", "turn", "msg", "level").orderBy("at"))
     runs = quoted.withColumn("run", run)
-    whole = runs.groupBy("conv", "turn", "msg", "level", "run").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda s: s["line"]), " ").alias("line"))
-    units = whole.select("conv", "turn", "level", "line").union(quoted.select("conv", "turn", "level", "line"))
-    text = units.withColumn("text", normalised(F.col("line"))).where(F.length("text") >= SHORTEST)
+    whole = runs.groupBy("conv", "turn", "msg", "level", "run").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda s: s["line"]), "\n").alias("line"))
+    parts = F.array_distinct(F.concat(F.array("line"), F.split("line", PARAGRAPHS)))
+    units = whole.select("conv", "turn", "level", F.explode(parts).alias("line")).union(quoted.select("conv", "turn", "level", "line"))
+    text = units.withColumn("text", normalised(F.col("line"))).where("text <> ''")
     return text.select("conv", "turn", "level", F.md5("text").alias("hash"), F.length("text").cast("long").alias("weight")).distinct()
 
 
 def _originals(df: DataFrame) -> DataFrame:
     """(conv, turn, hash) of bodies, paragraphs and lines."""
-    parts = F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
+    parts = F.concat(F.array("body"), F.split("body", PARAGRAPHS), F.split("body", "\n"))
     units = df.select("conv", "turn", F.explode(F.array_distinct(parts)).alias("part"))
-    text = units.withColumn("text", normalised(F.col("part"))).where(F.length("text") >= SHORTEST)
+    text = units.withColumn("text", normalised(F.col("part"))).where("text <> ''")
     return text.select("conv", "turn", F.md5("text").alias("hash")).distinct()
 
 
@@ -81,7 +83,8 @@ def reply_order(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "tu
     position: from 1, by depth, then turn, role and body. Rows with the same conversation and turn
     are one node: their quotes count together and they share parent and depth. Rows without a
     conversation or turn stand alone: root, depth 0, position 1. A null text is empty. Quotes
-    that match nothing earlier, or are shorter than SHORTEST, are removed but link nothing.
+    of any length link; those that match nothing earlier, or have no letter or digit, are removed
+    but link nothing.
     """
     rows = df.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed = bodies(rows.where("conv is not null and turn is not null"))

@@ -32,6 +32,19 @@ def test_links_and_order(spark):
     assert all(got[1, t].position > got[1, r.parent_turn].position for (c, t), r in got.items() if c == 1 and r.parent_turn is not None)
 
 
+def test_short_passages_and_paragraphs_link(spark):
+    rows = [
+        (1, 0, "user", "Sounds good."), (1, 1, "user", "Something else that was said."), (1, 2, "user", "> Sounds good.\nThen let us start."),
+        (2, 0, "user", "\u660e\u5929\u89c1\u9762\u3002"), (2, 1, "user", "\u597d\u7684"), (2, 2, "user", "> \u660e\u5929\u89c1\u9762\u3002\n\u53ef\u4ee5"),
+        (3, 0, "user", "The first paragraph is\nwrapped here.\n\nThe second one is long as\nwell.\n\nAnd a third one."), (3, 1, "user", "In between."),
+        (3, 2, "user", "> The first paragraph\n> is wrapped here.\n>\n> The second one is\n> long as well.\nYes."),
+        (4, 0, "user", "ok"), (4, 1, "user", "A long sentence that is quoted.\nmore"), (4, 2, "user", "no"), (4, 3, "user", "ok"), (4, 4, "user", "> A long sentence that is quoted.\n> ok\nThe longer counts."),
+        (5, 0, "user", "!!!"), (5, 1, "user", "x"), (5, 2, "user", "> !!!\nNo letters, no link."),
+    ]
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.parent_kind) for r in chat.reply_order(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[k] for k in ((1, 2), (2, 2), (3, 2), (4, 4), (5, 2))] == [(0, "quote"), (0, "quote"), (0, "quote"), (1, "quote"), (1, "previous")]
+
+
 def test_equals_sql(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     c = duckdb.connect()
