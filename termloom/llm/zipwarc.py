@@ -162,14 +162,39 @@ def data_offset(member: Member, read) -> int:
     return member.header + 30 + n + e
 
 
+def _plain_ranges(at: int, end: int, read) -> list[tuple[int, int]]:
+    """(offset, length) of the records of an uncompressed WARC file, by their Content-Length."""
+    out = []
+    while at < end:
+        head = b""
+        while (stop := head.find(b"\r\n\r\n")) < 0:
+            piece = read(at + len(head), min(1 << 12, end - at - len(head)))
+            if not piece:
+                raise BadArchive("a record isn't complete")
+            head += piece
+        length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", head[:stop])
+        if not head.startswith(b"WARC/") or not length:
+            raise BadArchive("not a WARC record")
+        out.append((at, stop + 4 + int(length[1]) + 4))
+        at += out[-1][1]
+        if at > end or read(at - 4, 4) != b"\r\n\r\n":
+            raise BadArchive("a record isn't complete")
+    return out
+
+
 def record_ranges(size: int, read) -> list[tuple[int, int]]:
     """(offset in the ZIP file, length) of every WARC record, from the index, or by a scan without one."""
     members = {m.name: m for m in central_directory(size, read)}
     out = []
     for name, m in members.items():
-        if not name.startswith("archive/") or not name.endswith(".warc.gz"):
+        if not name.startswith("archive/") or name.endswith("/"):
             continue
+        if not name.endswith((".warc.gz", ".warc")):
+            raise BadArchive(f"{name} is no WARC file")
         base = data_offset(m, read)
+        if name.endswith(".warc"):
+            out += _plain_ranges(base, base + m.packed, read)
+            continue
         if name == WARC and INDEX in members:
             i = members[INDEX]
             text = read(data_offset(i, read), i.packed)
@@ -193,7 +218,7 @@ def record_ranges(size: int, read) -> list[tuple[int, int]]:
 
 def parse_record(raw: bytes) -> dict:
     """Headers and payload facts of one record; the payload's digest is computed and compared."""
-    data = gzip.decompress(raw)
+    data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):

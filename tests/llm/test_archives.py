@@ -57,6 +57,25 @@ def test_zip64_and_a_scan_without_an_index():
     assert [zw.parse_record(data[a : a + n])["payload"] for a, n in zw.record_ranges(len(data), reader(data))] == [b"one", b"two"]
 
 
+def test_uncompressed_members_are_read():
+    payloads = [b"one", b"", b"\r\n\r\nWARC/1.1" * 9000]
+    raw = [zw.warc_record("response", zw.record_name(i), None, p, hashlib.sha1(p).hexdigest(), len(p), None) for i, p in enumerate(payloads)]
+
+    def stored(name, body):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+            z.writestr("archive/", b"")
+            z.writestr(name, body)
+            z.writestr("pages/pages.jsonl", b"{}")
+        return out.getvalue()
+
+    data = stored("archive/data.warc", b"".join(raw))
+    assert [zw.parse_record(data[a : a + n])["payload"] for a, n in zw.record_ranges(len(data), reader(data))] == payloads
+    for bad in (stored("archive/data.warc", b"".join(raw)[:-5]), stored("archive/data.warc", b"no record"), stored("archive/data.arc", b"x")):
+        with pytest.raises(zw.BadArchive):
+            zw.record_ranges(len(bad), reader(bad))
+
+
 def test_damage_is_noticed():
     data = archive([b"abc"])
     with pytest.raises(zw.BadArchive):
