@@ -24,19 +24,18 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def components(edges: DataFrame, limit: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each id of an edge (a, b) reaches.
 
-    Ids without an edge, null ends and loops are not in the result.
+    Ids may be of any type with an order. Ids without an edge, null ends and loops are not in
+    the result.
     """
     edges = edges.where("a is not null and b is not null and a <> b")
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    for _ in range(limit):
+    while True:
         # a star forest: each id hangs on one root, and no root hangs on another id
         n, ids = edges.agg(F.count("*"), F.countDistinct("a")).first()
         if n == ids and edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count() == 0:
             break
         edges = cut(_step(_step(edges, True), False))
-    else:
-        raise RuntimeError(f"components did not settle within {limit} steps")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

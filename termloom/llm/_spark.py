@@ -5,17 +5,23 @@ from __future__ import annotations
 import getpass
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir as the session names it.
 
-    Only where it is unset (tests, a laptop) a folder under /tmp is set instead.
+    Only where it is unset in a local session (tests, a laptop) a folder under /tmp is set
+    instead; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    path = named or f"file:///tmp/checkpoints/termloom-{getpass.getuser()}"
+    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = f"file:///tmp/checkpoints/termloom-{getpass.getuser()}"
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(path)
     return path
@@ -29,3 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder now and go on from there: survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark writes to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def integer_id(df: DataFrame, name: str) -> Column:
+    """The id column as a long; ids of another than an integer type are refused."""
+    kind = df.select(name).schema[0].dataType
+    if not isinstance(kind, (Ty.ByteType, Ty.ShortType, Ty.IntegerType, Ty.LongType)):
+        raise TypeError(f"the ids in {name} must be integers, not {kind.simpleString()}")
+    return F.col(name).cast("long")
