@@ -1,7 +1,9 @@
 """Vectorised text primitives over one byte buffer: words, shingles and n-gram hashes.
 
 A word is a maximal run of ASCII letters, digits, underscores and non-ASCII characters,
-in lower case. Texts are joined with a line break, so no word or n-gram spans two texts.
+in lower case; a run of more than LONGEST_WORD bytes is cut into words of that many. Texts are
+joined with a line break, so no word or n-gram spans two texts. A long text is read in
+overlapping runs of words, so its memory is a few bytes for each of its own.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] =
 #: Bytes of tokens between white space.
 VISIBLE = np.ones(256, bool)
 VISIBLE[[*range(9, 14), 32]] = False
+#: Bytes after which a run of letters is cut.
+LONGEST_WORD = 1024
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -62,19 +66,32 @@ def chunks(texts: list, limit: int = 1 << 19, most: int = 1 << 14) -> Iterator[t
         yield at, len(texts)
 
 
+def folded(text: str | None, lower: bool = True) -> bytes:
+    """The bytes that are cut into words; nothing for a null text."""
+    return ((text.lower() if lower else text) if text else "").encode("utf-8", "surrogatepass")
+
+
 class Words:
     """The words of some texts: start, end (byte places), doc (index of the text) and hash."""
 
     def __init__(self, texts: list, lower: bool = True, inside: np.ndarray | None = None) -> None:
-        raw = [((t.lower() if lower else t) if t else "").encode("utf-8", "surrogatepass") for t in texts]
+        raw = [t if isinstance(t, bytes) else folded(t, lower) for t in texts]
         self.n_docs = len(raw)
         self.buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         self.doc_end = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
-        within = np.zeros(len(self.buf) + 2, np.int8)
-        within[1:-1] = (_WORD if inside is None else inside)[self.buf]
-        edge = np.diff(within)
-        self.start = np.flatnonzero(edge == 1)
-        self.end = np.flatnonzero(edge == -1)
+        table = _WORD if inside is None else inside
+        self.cuts = np.zeros(0, np.int64)
+        self.start, self.end = self._edges(table)
+        size = self.end - self.start
+        if len(size) and size.max() > LONGEST_WORD:
+            # a line break after each part of a long run, which neither words nor texts hold
+            more = (size - 1) // LONGEST_WORD
+            part = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+            cuts = np.repeat(self.start, more) + part * LONGEST_WORD
+            self.doc_end = self.doc_end + np.searchsorted(cuts, self.doc_end)
+            self.buf = np.insert(self.buf, cuts, 10)
+            self.cuts = cuts + np.arange(len(cuts))
+            self.start, self.end = self._edges(table)
         self.doc = np.searchsorted(self.doc_end, self.start, side="right")
         n = len(self.buf)
         sums = np.zeros(n + 1, U64)
@@ -82,6 +99,16 @@ class Words:
         self.sums = sums
         self.hash = self.spans(self.start, self.end)
 
+    def place(self, k: int) -> int:
+        """Where word k starts in the bytes of the texts as they were given."""
+        return int(self.start[k] - np.searchsorted(self.cuts, self.start[k]))
+
+    def _edges(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        within = np.zeros(len(self.buf) + 2, np.int8)
+        within[1:-1] = inside[self.buf]
+        edge = np.diff(within)
+        return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of byte spans; the same bytes have the same hash wherever they stand."""
         h = (self.sums[end] - self.sums[start]) * _power(len(self.buf), True)[start]
@@ -91,6 +118,38 @@ class Words:
         return np.bincount(self.doc, minlength=self.n_docs)
 
 
+def _segments(raw: bytes, inside: np.ndarray, size: int, overlap: int) -> Iterator[Words]:
+    """Runs of the words of one text; each but the first starts with the last overlap words of the run before."""
+    buf = np.frombuffer(raw, np.uint8)
+    mask = inside[buf]
+    keep = mask.copy()
+    keep[1:] |= mask[:-1]
+    raw = np.where(mask[keep], buf[keep], np.uint8(10)).tobytes().rstrip(b"\n")
+    del buf, mask, keep
+    at, back, n = 0, 0, len(raw)
+    while at < n:
+        end = n if at + size >= n else raw.rfind(b"\n", at, at + size) + 1 or at + size // LONGEST_WORD * LONGEST_WORD
+        words = Words([raw[back:end]], inside=inside)
+        yield words
+        at, back = end, back + words.place(max(0, len(words.start) - overlap)) if overlap else end
+
+
+def runs(texts: list, *, lower: bool = True, inside: np.ndarray | None = None, overlap: int = 0, limit: int = 1 << 19, most: int = 1 << 14) -> Iterator[tuple[int, int, int, Words]]:
+    """(lo, hi, part, words) over texts[lo:hi]; a text far over limit comes in several parts, 0, 1, ...
+
+    Part k > 0 starts with the last overlap words of the part before it; every part has more
+    words than that.
+    """
+    table = _WORD if inside is None else inside
+    for lo, hi in chunks(texts, limit, most):
+        raw = [folded(t, lower) for t in texts[lo:hi]]
+        if hi - lo == 1 and len(raw[0]) > 4 * limit:
+            for part, words in enumerate(_segments(raw[0], table, 4 * limit, overlap)):
+                yield lo, hi, part, words
+        else:
+            yield lo, hi, 0, Words(raw, inside=table)
+
+
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(doc, hash) of every run of width words of one text, repeats included.
 
@@ -122,3 +181,26 @@ def distinct(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
     at = np.flatnonzero(new)
     return docs[at], hashes[at], np.diff(np.append(at, len(docs)))
+
+
+def merged(docs: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same pairs once each, their counts added."""
+    order = np.lexsort((hashes, docs))
+    docs, hashes, counts = docs[order], hashes[order], counts[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
+    at = np.flatnonzero(new)
+    return docs[at], hashes[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
+def shingle_counts(texts: list, width: int, most: int = 1 << 14) -> Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(lo, hi, (doc - lo, hash, count)) of the distinct shingles of texts[lo:hi], each text in one item."""
+    held: tuple | None = None
+    for lo, hi, part, words in runs(texts, overlap=width - 1, most=most):
+        if held and not part:
+            yield held
+            held = None
+        found = distinct(*shingles(words, width))
+        held = (lo, hi, found if held is None else merged(*(np.concatenate(p) for p in zip(held[2], found, strict=True))))
+    if held:
+        yield held
