@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +18,17 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import integer_id
+
 RULES = ("most", "start", "end")
 #: Fixed value: the split pattern of the public byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: what the pattern counts as white space.
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space that is encoded without the pattern, and characters that are encoded in one go.
+RUN, PIECE = 1000, 1 << 18
+_RUNS = re.compile(f"[{SPACE}]{{{RUN},}}")
+_EDGE = re.compile(f"[^{SPACE}](?=[{SPACE}])")
 
 
 @functools.lru_cache(maxsize=4)
@@ -31,15 +41,42 @@ def _vocabulary(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), size
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """Parts of a text that the pattern splits anyway: one begins where white space follows something else."""
+    at = 0
+    while len(text) - at > PIECE and (m := _EDGE.search(text, at + PIECE)):
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:] if at else text
+
+
+def encoded(encoding: tiktoken.Encoding, text: str) -> Iterator[list[int]]:
+    """Ids of a whole text, piece by piece.
+
+    A long run of white space is one match of the pattern up to its last character, which goes
+    with what follows it, or to its end where the text ends; the library's matcher would need a
+    stack as deep as the run.
+    """
+    done = 0
+    for piece in _pieces(text):
+        done += len(piece)
+        at = 0
+        for m in _RUNS.finditer(piece) if len(piece) >= RUN else ():
+            if m.start() > at:
+                yield encoding.encode_ordinary(piece[at : m.start()])
+            at = m.end() if m.end() == len(piece) and done == len(text) else m.end() - 1
+            yield encoding._core_bpe.encode_single_piece(piece[m.start() : at].encode())
+        yield encoding.encode_ordinary(piece[at:] if at else piece)
+
+
 def token_spans(path: str, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Character spans of a text's tokens. A token with part of a character covers all of it."""
     encoding, size = _vocabulary(path)
-    ids = np.asarray(encoding.encode_ordinary(text), np.int64)
-    if not len(ids):
-        return ids, ids
-    end = np.cumsum(size[ids])
-    start = end - size[ids]
-    if not text.isascii():
+    text = text.encode("utf-8", "replace").decode() if not text.isascii() else text
+    lengths = np.concatenate([size[np.asarray(ids, np.int64)] for ids in encoded(encoding, text)])
+    end = np.cumsum(lengths)
+    start = end - lengths
+    if len(end) and not text.isascii():
         raw = np.frombuffer(text.encode(), np.uint8)
         char = np.cumsum((raw & 0xC0) != 0x80) - 1
         start, end = char[start], char[end - 1] + 1
@@ -111,14 +148,14 @@ def section_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col
 
     With one text column the sections are the parts that end with separator (lines); with
     several columns each is a section of the columns joined by separator, which counts with the
-    field before it. n_crossing: tokens of the section that also cover characters of another.
-    Null texts are empty; an empty text has one section without tokens. Ids may be null or
+    field before it; a column's own line ends don't matter. n_crossing: tokens of the section that also cover characters of another.
+    Null texts are empty; an empty text has one section without tokens. Ids are integers and may be null or
     repeat: every row is counted on its own. Sections of a row add up to the row's tokens.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     cols = [text_cols] if isinstance(text_cols, str) else list(text_cols)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), *(F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(cols)))
+    rows = df.select(integer_id(df, id_col).alias("id"), *(F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(cols)))
     schema = "id long, section long, start_char long, end_char long, n_tokens long, n_crossing long"
     n = len(cols)
     return rows.mapInArrow(lambda it: _counted(it, path, n, separator, rule), schema).withColumnRenamed("id", id_col)

@@ -1,15 +1,15 @@
 import base64
+import random
+import re
 
 import numpy as np
 import pytest
 import tiktoken
 
 from termloom.llm import token_counts as tc
-from termloom.llm.queries import TOKENIZERS
+from termloom.llm.queries import BYTE_BPE as PATH
 
-from .helpers import clash
-
-PATH = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+from .helpers import clash, peak_mb
 
 
 def brute(text, starts, rule):
@@ -60,3 +60,30 @@ def test_fields_nulls_and_empties(spark):
     assert tc.section_tokens(df.limit(0), PATH, text_cols="title").count() == 0
     with pytest.raises(ValueError):
         tc.section_tokens(df, PATH, rule="other")
+
+
+def test_text_in_pieces_is_encoded_as_a_whole(monkeypatch):
+    encoding, _ = tc._vocabulary(PATH)
+    monkeypatch.setattr(tc, "RUN", 3)
+    monkeypatch.setattr(tc, "PIECE", 20)
+    monkeypatch.setattr(tc, "_RUNS", re.compile(f"[{tc.SPACE}]{{3,}}"))
+    r = random.Random(1)
+    for _ in range(5000):
+        text = "".join(r.choices(["a", "b1", " ", "  ", "\n", "\t", "!", " ", "漢", "\u3000", "'s", "\x1c"], k=r.randint(0, 60)))
+        assert [i for part in tc.encoded(encoding, text) for i in part] == encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", [" " * 5_000_000, "a" + " " * 2_000_000 + "b", "\n" * 3_000_000 + "x\n"])
+def test_long_white_space(text):
+    start, end = tc.token_spans(PATH, text)
+    assert start[0] == 0 and end[-1] == len(text) and (start[1:] == end[:-1]).all()
+
+
+def test_ids_must_be_integers(spark):
+    with pytest.raises(TypeError):
+        tc.section_tokens(spark.createDataFrame([("x", "a")], "doc_id string, text string"), PATH)
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    lines = f"from termloom.llm import token_counts as tc\ntext = 'some words of it ' * 1_200_000\ntc._vocabulary({PATH!r})"
+    assert peak_mb(f"tc.token_spans({PATH!r}, text)", lines) < 500
