@@ -1,11 +1,13 @@
 """BPE encoding and decoding as a streaming transducer with bounded lookahead.
 
-From the merge list alone follows how far the right-hand context can change a merge: a rule can
-only be pre-empted by an earlier rule that overlaps its right end, and that one by a still
-earlier rule, so the reach of such chains is a constant of the list (Merges.lookahead). Words
-are encoded as they stream in; a token is emitted once that many symbols are known after it, so
-a word of any length needs memory for the lookahead and one block only. Decoding is the inverse
-state machine: ids in, text out, holding back no more than the bytes of an unfinished character.
+Symbols stream in one by one. For every end position the transducer knows the last token of the
+encoding of the text up to there: it is the one token that ends there and that stays next to the
+last token at its own start (Merges.beside: undoing both tokens' merges in reverse order, no
+merge across the border would have come first). The ends that a later token can start at are
+those inside a path of the token trie; a token is emitted once the encodings at all of them share
+it. How long that can take is a constant of the merge list (Merges.lookahead), so a word of any
+length needs constant memory. Decoding is the inverse state machine: ids in, text out, holding
+back no more than the bytes of an unfinished character.
 
 The tokenizer file is a JSON of the public `tokenizers` format with a BPE model, an end-of-word
 suffix, NFC + lower case, and a split into contractions, letters, single digits and other runs.
@@ -16,7 +18,6 @@ from __future__ import annotations
 import codecs
 import functools
 import hashlib
-import heapq
 import itertools
 import json
 import re
@@ -28,12 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import integer_id
+
 _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
-_NONE = 1 << 62
-BLOCK = 4096
-CACHED = 64
-CACHE = 150_000
+_NEVER = 1 << 62
+#: Symbols after which a word's transducer looks for tokens to emit; the longest cached word; cached words; cached borders.
+BLOCK, CACHED, CACHE, BORDERS = 64, 64, 150_000, 1 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -59,15 +61,80 @@ class Merges:
             self.token[v] = k
         self.whole = all(self.token)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.pairs = {vocab[a] << _SHIFT | vocab[b]: rank << _SHIFT | vocab[a + b] for rank, (a, b) in enumerate(merges)}
+        self.rank = {vocab[a] << _SHIFT | vocab[b]: rank for rank, (a, b) in enumerate(merges)}
         chars = byte_symbols()
         self.plain = [vocab[c] for c in chars]
         self.last = [vocab[c + self.end] for c in chars]
         self.symbols = [len(t.removesuffix(self.end) if self.end else t) for t in self.token]
         self.lookahead = self._lookahead(merges)
-        self._old: dict[str, tuple] = {}
+        #: For each token its parts and the rank of the merge that makes it.
+        self.left, self.right, self.made = list(range(size)), list(range(size)), [-1] * size
+        for rank, (a, b) in enumerate(merges):
+            t = vocab[a + b]
+            if self.made[t] >= 0:
+                raise ValueError(f"two merges make {a + b!r}")
+            self.left[t], self.right[t], self.made[t] = vocab[a], vocab[b], rank
+        self._borders: dict[int, bool] = {}
+        self._trie(vocab, merges)
         self._cache = _Cache(self)
 
+    def _trie(self, vocab: dict, merges: list[tuple]) -> None:
+        """next: node and symbol to node; ends: the token of each node, or -1. Only tokens that their own text is encoded to."""
+        self.next: dict[int, int] = {}
+        self.ends = [-1]
+        plain, last = dict(zip(byte_symbols(), self.plain, strict=True)), dict(zip(byte_symbols(), self.last, strict=True))
+        good = {*self.plain, *self.last}
+        for a, b in merges:
+            t = vocab[a + b]
+            if vocab[a] in good and vocab[b] in good and self._border(vocab[a], vocab[b], self.made[t]):
+                good.add(t)
+        for t in good:
+            text = self.token[t]
+            ended = bool(self.end) and text.endswith(self.end)
+            text = text.removesuffix(self.end) if ended else text
+            path = [plain[c] for c in text]
+            if ended:
+                path[-1] = last[text[-1]]
+            node = 0
+            for x in path:
+                at = node << _SHIFT | x
+                node = self.next.get(at, 0)
+                if not node:
+                    node = self.next[at] = len(self.ends)
+                    self.ends.append(-1)
+            self.ends[node] = t
+
+    def _border(self, a: int, b: int, own: int | None = None) -> bool:
+        """Whether no merge across the border of a and b comes before the merges that make them.
+
+        own: the rank of the merge of a and b, when it is the one that makes a token of them.
+        """
+        made, get = self.made, self.rank.get
+        before_a = before_b = _NEVER if own is None else own
+        first = own is not None
+        while True:
+            m = get(a << _SHIFT | b, _NEVER)
+            # of equal ranks the leftmost merge comes first
+            if not first and m < before_a and m <= before_b and m != _NEVER:
+                return False
+            first = False
+            if made[a] > made[b]:
+                before_a, a = made[a], self.right[a]
+            elif made[b] >= 0:
+                before_b, b = made[b], self.left[b]
+            else:
+                return True
+
+    def beside(self, a: int, b: int) -> bool:
+        """Whether the tokens a and b can stand next to each other in an encoding."""
+        key = a << _SHIFT | b
+        ok = self._borders.get(key)
+        if ok is None:
+            if len(self._borders) >= BORDERS:
+                self._borders.clear()
+            ok = self._borders[key] = self._border(a, b)
+        return ok
+
     def _lookahead(self, merges: list[tuple]) -> int:
         """Most symbols past a rule's right end that can decide whether it is applied.
 
@@ -93,50 +160,10 @@ class Merges:
                 reach[x[:k]] = max(reach.get(x[:k], 0), len(x) + far)
         return most + 1
 
-    def merge(self, s: list[int]) -> list[int]:
-        """Apply the merges to symbols; lowest rank first, from the left."""
-        if len(s) > CACHED:
-            return self._merge_long(s)
-        get = self.pairs.get
-        ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(s, s[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == _NONE:
-                break
-            i = ranks.index(best)
-            s[i] = new = best & _MASK
-            del s[i + 1], ranks[i]
-            if i < len(ranks):
-                ranks[i] = get(new << _SHIFT | s[i + 1], _NONE)
-            if i:
-                ranks[i - 1] = get(s[i - 1] << _SHIFT | new, _NONE)
-        return s
-
-    def _merge_long(self, s: list[int]) -> list[int]:
-        s = list(s)
-        n, get = len(s), self.pairs.get
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := get(s[i] << _SHIFT | s[i + 1], _NONE)) != _NONE]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            j = after[i]
-            if s[i] < 0 or j >= n or get(s[i] << _SHIFT | s[j], _NONE) != r:
-                continue
-            s[i], s[j] = r & _MASK, -1
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                if (q := get(s[i] << _SHIFT | s[k], _NONE)) != _NONE:
-                    heapq.heappush(heap, (q, i))
-            if (h := before[i]) >= 0 and (q := get(s[h] << _SHIFT | s[i], _NONE)) != _NONE:
-                heapq.heappush(heap, (q, h))
-        return [x for x in s if x >= 0]
-
     def word(self, w: str) -> list[int]:
-        b = w.encode()
+        """The ids of one whole word, through the transducer."""
         t = WordTransducer(self)
-        return [*t.push(b), *t.close()]
+        return [*t.push(w.encode()), *t.close()]
 
 
 class _Cache(dict):
@@ -148,12 +175,9 @@ class _Cache(dict):
     def __missing__(self, w: str) -> tuple:
         ids = self.old.get(w)
         if ids is None:
-            m, b = self.merges, w.encode()
-            if len(b) > CACHED:
-                return tuple(m.word(w))
-            s = [m.plain[x] for x in b]
-            s[-1] = m.last[b[-1]]
-            ids = tuple(m.merge(s))
+            ids = tuple(self.merges.word(w))
+            if len(w) > CACHED:
+                return ids
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
@@ -162,37 +186,123 @@ class _Cache(dict):
 
 
 class WordTransducer:
-    """One word, byte by byte: push() returns the ids that no later byte can change, close() the rest."""
+    """One word, byte by byte: push() returns the ids that no later byte can change, close() the rest.
 
-    def __init__(self, merges: Merges, block: int = BLOCK, lookahead: int | None = None) -> None:
-        self.m, self.block, self.open = merges, block, []
-        self.ahead = merges.lookahead if lookahead is None else lookahead
+    State: the last token at every end position that isn't settled yet, the paths of the token
+    trie that are open, and one byte, as the last byte of a word is a symbol of its own.
+    """
+
+    def __init__(self, merges: Merges, block: int = BLOCK) -> None:
+        self.m, self.block = merges, block
+        self.byte: int | None = None
+        #: tokens[k] ends at position base + k; tokens[0] is the last one emitted, or None.
+        self.base, self.tokens = 0, [None]
+        self.paths: list[tuple[int, int]] = []
+
+    @property
+    def held(self) -> int:
+        """Symbols that are not settled."""
+        return len(self.tokens) - 1
+
+    def _step(self, symbol: int) -> None:
+        m, base, tokens = self.m, self.base, self.tokens
+        self.paths.append((base + len(tokens) - 1, 0))
+        paths, found = [], -1
+        for start, node in self.paths:
+            node = m.next.get(node << _SHIFT | symbol)
+            if node is not None:
+                paths.append((start, node))
+                t = m.ends[node]
+                if t >= 0 and found < 0:
+                    before = tokens[start - base]
+                    if before is None or m.beside(before, t):
+                        found = t
+        if found < 0:
+            raise AssertionError("no token ends here")
+        tokens.append(found)
+        self.paths = paths
+
+    def _settled(self, ends: set[int]) -> list[int]:
+        """Emit the tokens that the encodings at all these ends share."""
+        size, base, tokens = self.m.symbols, self.base, self.tokens
+        while len(ends) > 1:
+            last = max(ends)
+            ends.remove(last)
+            ends.add(last - size[tokens[last - base]])
+        (at,) = ends
+        out, back = [], at
+        while back > base:
+            out.append(tokens[back - base])
+            back -= size[out[-1]]
+        self.tokens, self.base = tokens[at - base :], at
+        return out[::-1]
 
     def push(self, data: bytes) -> list[int]:
         out: list[int] = []
-        for at in range(0, len(data), self.block):
-            self.open += data[at : at + self.block]
-            if len(self.open) >= self.ahead + self.block:
-                sure, done = len(self.open) - self.ahead, 0
-                for i in self.m.merge([self.m.plain[x] for x in self.open]):
-                    if done + self.m.symbols[i] > sure:
-                        break
-                    done += self.m.symbols[i]
-                    out.append(i)
-                del self.open[:done]
+        plain = self.m.plain
+        for b in data:
+            if self.byte is not None:
+                self._step(plain[self.byte])
+                if len(self.tokens) % self.block == 0:
+                    out += self._settled({self.base + len(self.tokens) - 1, *(start for start, _ in self.paths)})
+            self.byte = b
         return out
 
     def close(self) -> list[int]:
-        if not self.open:
+        if self.byte is None:
             return []
-        s = [self.m.plain[x] for x in self.open]
-        s[-1] = self.m.last[self.open[-1]]
-        self.open = []
-        return self.m.merge(s)
-
-
-#: The split pattern of the public tokenizer file.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self._step(self.m.last[self.byte])
+        self.byte, self.paths = None, []
+        return self._settled({self.base + len(self.tokens) - 1})
+
+
+#: The split pattern of the public tokenizer file, and the code points that its
+#: library, whose letters and numbers are those of Unicode 16, counts as neither, though later
+#: tables do; the lower case of letters that earlier tables lack; and the marks that its NFC, of
+#: Unicode 9, doesn't know: they neither move nor compose, and nothing moves or composes past them.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NEITHER = (
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee "
+    "11b0a 11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f 12550-12686 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 16ff4-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 "
+    "18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 "
+    "1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
+)
+LETTERS = (
+    "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e 11390-113b5 113b7 113d1 113d3 11bc0-11be0 "
+    "13460-143fa 16100-1611d 16d40-16d6c 18cff 1e5d0-1e5ed 1e5f0"
+)
+NUMBERS = "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa"
+LOWER = "1c89:1c8a a7cb:264 a7cc:a7cd a7ce:a7cf a7d2:a7d3 a7d4:a7d5 a7da:a7db a7dc:19b 10d50-10d65:10d70 16ea0-16eb8:16ebb"
+MARKS = (
+    "7fd 898-89f 8ca-8d3 9fe c3c d3b-d3c eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac 10efd-10eff 10f46-10f50 10f82-10f85 11070 1133b 1145e "
+    "11839-1183a 11930 1193d-1193e 11943 119e0 11a34 11a47 11a99 11d42 11d44-11d45 11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae 1e2ec-1e2ef 1e4ec-1e4ef"
+)
+
+
+def _class(ranges: str) -> str:
+    """The inside of a character class."""
+    return "".join("-".join(chr(int(x, 16)) for x in r.split("-")) for r in ranges.split())
+
+
+def _lower_table() -> dict[int, int]:
+    out = {}
+    for item in LOWER.split():
+        upper, low = item.split(":")
+        first, _, last = upper.partition("-")
+        for k in range(int(last or first, 16) - int(first, 16) + 1):
+            out[int(first, 16) + k] = int(low, 16) + k
+    return out
+
+
+_LOWER = _lower_table()
+_UPPER = regex.compile(f"[{''.join(map(chr, _LOWER))}]")
+_MARK = regex.compile(f"([{_class(MARKS)}])")
+SPLIT = regex.compile(PATTERN)
+#: The same split with the letters and numbers of the library, for texts with a character that tables disagree on.
+_L, _N = f"[[\\p{{L}}--[{_class(NEITHER)}]]||[{_class(LETTERS)}]]", f"[[\\p{{N}}--[{_class(NEITHER)}]]||[{_class(NUMBERS)}]]"
+_PINNED = regex.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^\\s{_L}{_N}]").replace(r"[\p{L}]", _L).replace(r"[\p{N}]", _N), regex.V1)
+_DISPUTED = regex.compile(f"[{_class(NEITHER)}{_class(LETTERS)}{_class(NUMBERS)}]")
+_LETTERS, _OTHER = regex.compile(f"{_L}+", regex.V1), regex.compile(f"[^\\s{_L}{_N}]+", regex.V1)
 #: Texts of Latin letters, ASCII digits and common marks need no Unicode properties: the same split in plain classes.
 _COMPLEX = re.compile("[^\t-\r -\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f\u2010-\u2027\u2030-\u203a]")
 _LATIN = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -206,24 +316,20 @@ _STABLE = regex.compile(r"[\u0000-˿一-鿿]")
 def normalised(text: str) -> str:
     """NFC, then lower case character by character (no context rule for the final sigma)."""
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        rare = _RARE.search(text)
+        parts = _MARK.split(text) if rare else [text]
+        text = "".join([unicodedata.normalize("NFC", part) for part in parts]).replace("Σ", "σ")
+        if rare and _UPPER.search(text):
+            text = text.translate(_LOWER)
     return text.lower()
 
 
-@functools.lru_cache(maxsize=256)
-def _split_without(odd: str) -> regex.Pattern:
-    letters = f"[\\p{{L}}--[{regex.escape(odd, special_only=False)}]]"
-    return regex.compile(SPLIT.pattern.replace("[\\p{L}]", letters).replace("[^\\s\\p{L}\\p{N}]", f"[[^\\s\\p{{L}}\\p{{N}}]||[{regex.escape(odd, special_only=False)}]]"), regex.V1)
-
-
 def split(text: str) -> list[str]:
-    """The words of normalised text. Characters without a category in this Python's Unicode are no letters."""
+    """The words of normalised text."""
     if not _COMPLEX.search(text):
         return _SIMPLE.findall(text)
-    if _RARE.search(text):
-        odd = "".join(sorted(c for c in set(text) if unicodedata.category(c) == "Cn"))
-        if odd:
-            return _split_without(odd).findall(text)
+    if _RARE.search(text) and _DISPUTED.search(text):
+        return _PINNED.findall(text)
     return SPLIT.findall(text)
 
 
@@ -308,10 +414,6 @@ class StreamEncoder:
             ids += self.run[1].push(last.encode())
 
 
-_LETTERS = regex.compile(r"\p{L}+")
-_OTHER = regex.compile(r"[^\s\p{L}\p{N}]+")
-
-
 class StreamDecoder:
     """Ids in, text out. mode "join": the vocabulary's strings with a space between, as the
     library decodes where the file names no decoder. mode "bytes": the bytes behind the strings,
@@ -389,9 +491,9 @@ def encode_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", text_c
     """(id_col, n_tokens, ids_sha256, decoded_sha256[, ids]) of each row's whole text, without a shuffle.
 
     A null text is an empty one: no tokens and the digests of empty strings. Null and repeated
-    ids are passed through row by row; other columns play no part. path must be readable on
-    every executor.
+    ids are passed through row by row; ids must be integers; other columns play no part. path
+    must be readable on every executor.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = df.select(integer_id(df, id_col).alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return rows.mapInArrow(lambda it: _digests(it, path, keep_ids), schema).withColumnRenamed("id", id_col)

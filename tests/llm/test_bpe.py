@@ -6,11 +6,10 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from termloom.llm import bpe
-from termloom.llm.queries import TOKENIZERS
+from termloom.llm.queries import WORD_BPE as PATH
 
 from .helpers import clash, sha
 
-PATH = f"{TOKENIZERS}/word_bpe_49k.json"
 MERGES = bpe.load(PATH)
 LIBRARY = Tokenizer.from_file(PATH)
 
@@ -34,23 +33,65 @@ def test_long_runs(text):
     assert mine(text) == theirs(text) == mine(text, 1000)
 
 
-def test_long_random_word_in_small_blocks():
-    word = "".join(random.Random(5).choices("abcdefthin", k=20000))
-    t = bpe.WordTransducer(MERGES, block=64)
+def test_every_character_is_encoded_as_by_the_library():
+    """Between letters, marks and digits, and after marks that may move or compose."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert [c for c in points if mine(f"ab{c}cd !{c}!{c}1{c}") != theirs(f"ab{c}cd !{c}!{c}1{c}")] == []
+    mixed = "a\u0345{0}\u0301 e{0}\u0323 {0}\u0307{0}"
+    assert [c for c in points if mine(mixed.format(c)) != theirs(mixed.format(c))] == []
+
+
+def test_random_words():
+    r = random.Random(3)
+    for alphabet in ("ab", "abc", "aeint", "abcdefghijklmnopqrstuvwxyz", "-=_", "!?.", "0a", "éèa"):
+        for _ in range(200):
+            w = "".join(r.choices(alphabet, k=r.randint(1, 200)))
+            assert mine(w) == theirs(w)
+
+
+@pytest.mark.parametrize("word", ["a" * 20000, "ha" * 6000, "=" * 9000, "".join(random.Random(5).choices("abcdefthin", k=20000))])
+def test_a_word_needs_constant_memory(word):
+    t = bpe.WordTransducer(MERGES, block=16)
     out, held = [], 0
     for at in range(0, len(word), 100):
         out += t.push(word[at : at + 100].encode())
-        held = max(held, len(t.open))
+        held = max(held, t.held)
     out += t.close()
     assert out == theirs(word)
-    assert held <= t.ahead + 64 + 100  # memory is bounded by the lookahead and a block
+    assert held <= 16 + 4 * max(MERGES.symbols) < MERGES.lookahead
+
+
+def test_what_is_emitted_does_not_depend_on_what_follows():
+    word = "thinking-of-"
+    for tail in ("", "a", "ing", "ofofofof", "zzzz" * 20):
+        t = bpe.WordTransducer(MERGES, block=1)
+        sure = t.push(("internationalisation" * 5).encode())
+        assert theirs("internationalisation" * 5 + tail)[: len(sure)] == sure and sure
+    assert MERGES.lookahead > 1 and word
+
 
+def test_tokens_that_can_stand_side_by_side():
+    r = random.Random(6)
+    made = [t for t in range(len(MERGES.token)) if MERGES.made[t] >= 0 and not MERGES.token[t].endswith("</w>")]
+    chars = {c: b for b, c in enumerate(bpe.byte_symbols())}
+    for _ in range(3000):
+        a, b = r.choice(made), r.choice(made)
+        t = bpe.WordTransducer(MERGES)
+        for c in MERGES.token[a] + MERGES.token[b]:
+            t._step(MERGES.plain[chars[c]])
+        got = t._settled({t.held})
+        assert (got == [a, b]) == MERGES.beside(a, b)
 
-def test_lookahead_is_needed_and_enough():
-    assert MERGES.lookahead > 1
-    word = "ha" * 3000
-    t = bpe.WordTransducer(MERGES, block=8)
-    assert [*t.push(word.encode()), *t.close()] == theirs(word)
+
+def test_two_merges_that_make_one_token_are_refused(tmp_path):
+    import json
+
+    chars = {c: i for i, c in enumerate(bpe.byte_symbols())}
+    spec = {"model": {"vocab": chars | {"ab": 256, "bc": 257, "abc": 258}, "merges": [["a", "b"], ["b", "c"], ["ab", "c"], ["a", "bc"]], "end_of_word_suffix": ""}, "added_tokens": []}
+    p = tmp_path / "m.json"
+    p.write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        bpe.Merges(str(p))
 
 
 @settings(max_examples=200, deadline=None)
