@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import U64, VISIBLE, Words, _power, chunks, mix, release
+from ._spark import integer_id
+from ._text import U64, VISIBLE, Words, _power, chunks, mix, release, runs
 from .toxicity import held_out, labelled_sample
 
 BITS = 16
@@ -30,6 +31,7 @@ _SHAPE[97:123] = 97
 _SHAPE[48:58] = 57
 _SHAPE[128:] = 97
 _KINDS = 5
+_MASK = U64((1 << BITS) - 1)
 
 
 @dataclass
@@ -39,9 +41,9 @@ class Model:
     grades: list
 
 
-def features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(texts: list | Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc of each token, buckets (tokens x kinds), tokens of each doc)."""
-    words = Words(texts, lower=False, inside=VISIBLE)
+    words = texts if isinstance(texts, Words) else Words(texts, lower=False, inside=VISIBLE)
     shape = _SHAPE[words.buf]
     keep = np.ones(len(shape), bool)
     keep[1:] = shape[1:] != shape[:-1]
@@ -64,13 +66,34 @@ def features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if n:
         h, d = words.hash[order], words.doc[order]
         again[order[1:]] = (h[1:] == h[:-1]) & (d[1:] == d[:-1])
-    mask = U64((1 << BITS) - 1)
-    cols = [words.hash, mix(form + U64(1)), mix(mix(before + U64(2)) + form), mix(twice.astype(U64) + U64(3)), mix(again.astype(U64) + U64(7))]
-    return words.doc, np.stack([(c & mask).astype(np.int64) for c in cols], 1), words.counts()
+    cols = [words.hash, mix(form + U64(1)), mix(mix(before + U64(2)) + form), mix(twice.astype(U64) + U64(3)), _again(again)]
+    return words.doc, np.stack([(c & _MASK).astype(np.int64) for c in cols], 1), words.counts()
 
 
-def _scale(doc: np.ndarray, buckets: np.ndarray, count: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return np.bincount(doc, weights[buckets].sum(1), len(count)) / np.maximum(count, 1)
+def _again(seen: np.ndarray) -> np.ndarray:
+    """The hash of whether a token repeats an earlier one of its document."""
+    return mix(seen.astype(U64) + U64(7))
+
+
+def scales(texts: list, weights: np.ndarray) -> np.ndarray:
+    """f of whole texts: the mean weight of their tokens' features, 0 without tokens.
+
+    A long text is read in runs that overlap by one token; the tokens seen so far are kept as a
+    set of hashes, so its value is that of the text in one piece.
+    """
+    total, count = np.zeros(len(texts)), np.zeros(len(texts))
+    seen = np.zeros(0, U64)
+    for lo, hi, part, words in runs(texts, lower=False, inside=VISIBLE, overlap=1):
+        doc, buckets, _ = features(words)
+        if part or hi - lo == 1:
+            seen = seen if part else seen[:0]
+            buckets[:, _KINDS - 1] = np.where(np.isin(words.hash, seen), int(_again(np.ones(1, bool))[0] & _MASK), buckets[:, _KINDS - 1])
+            seen = np.union1d(seen, words.hash)
+        if part:
+            doc, buckets = doc[1:], buckets[1:]
+        total[lo:hi] += np.bincount(doc, weights[buckets].sum(1), hi - lo)
+        count[lo:hi] += np.bincount(doc, minlength=hi - lo)
+    return total / np.maximum(count, 1)
 
 
 def _cumulative(f: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
@@ -128,7 +151,7 @@ def train(texts: list, grade: np.ndarray, grades: list, *, epochs: int = 150, ra
 
 def predict(texts: list, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """(expected grade, P(grade >= k) for k = 1 ... K-1) of whole texts; a text without tokens has f = 0."""
-    f = np.concatenate([_scale(*features(texts[lo:hi]), model.weights) for lo, hi in chunks(texts)]) if texts else np.zeros(0)
+    f = scales(texts, model.weights)
     p = _cumulative(f, model.thresholds)
     return np.diff(p, axis=1) @ np.array(model.grades, np.float64), 1 - p[:, 1:-1]
 
@@ -155,10 +178,11 @@ def quality(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
     tail: P(grade >= least), least being the highest grade where not given; kept: tail is at
     least the given probability. Null and empty texts are judged by the thresholds alone. Null
-    and repeated ids are passed through row by row; other columns play no part.
+    and repeated ids are passed through row by row; ids must be integers; other columns play no
+    part.
     """
     cut = max(0, (len(model.grades) - 1 if least is None else model.grades.index(least)) - 1)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = df.select(integer_id(df, id_col).alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(lambda it: _scored(it, model, cut), "id long, expected_grade double, tail double")
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "expected_grade", "tail", (F.col("tail") >= tail).alias("kept"))
 

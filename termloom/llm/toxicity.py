@@ -2,10 +2,12 @@
 
 A word's vector is the mean of the embeddings of its character n-grams (hashed, with marks for
 the word's ends) and of the whole word, so an unseen misspelling shares the vectors of the
-spellings it resembles. A window's vector is the mean of its words' vectors; a two-class
-softmax scores it. A document's score is that of its windows, pooled towards the worst one, so
-a few words weigh the same in a short and in a very long text. Embeddings and softmax weights
-are learnt together. As both steps are linear, scoring needs one number for each n-gram bucket.
+spellings it resembles. A window's vector is the mean of its words' vectors, and a document's
+vector is the weighted mean of its windows' vectors, which a two-class softmax scores. A window's
+weight grows exponentially with its own score, so a few words weigh the same in a short and in a
+very long text (with equal weights a thousand clean words hide them). Training and scoring use
+the same mean, and embeddings and softmax weights are learnt together. As all steps but the
+weights are linear, scoring needs one number for each n-gram bucket.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import U64, Words, _power, chunks, release
+from ._spark import integer_id
+from ._text import U64, Words, _power, chunks, release, runs
 
 SIZES = (3, 4, 5)
 BITS = 17
@@ -43,8 +46,8 @@ def _hash_at(words: Words, n: int) -> np.ndarray:
     return (words.spans(at, at + n) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
-def _marked(texts: list) -> Words:
-    words = Words(texts)
+def _marked(texts: list | Words) -> Words:
+    words = texts if isinstance(texts, Words) else Words(texts)
     gaps = np.ones(len(words.buf) + 1, np.int64)
     np.add.at(gaps, words.start, -1)
     inside = np.zeros(len(words.buf) + 1, np.int64)
@@ -121,15 +124,37 @@ def _windows(doc: np.ndarray, n_docs: int, window: int) -> tuple[np.ndarray, np.
     return d, lo, np.minimum(lo + window, first[d] + count[d])
 
 
-def pooled(logits: np.ndarray, doc: np.ndarray, n_docs: int, bias: float, window: int = WINDOW) -> np.ndarray:
-    """A document's logit: that of its highest window; the bias alone without words."""
+class Mean:
+    """The mean of documents' windows, weighted by exp(score), fed run by run."""
+
+    def __init__(self, n: int) -> None:
+        self.top, self.weight, self.total = np.full(n, -np.inf), np.zeros(n), np.zeros(n)
+
+    def add(self, d: np.ndarray, z: np.ndarray) -> None:
+        """Windows of the documents d with the scores z."""
+        if not len(d):
+            return
+        top = self.top.copy()
+        np.maximum.at(top, d, z)
+        seen = np.isfinite(self.top)
+        shrink = np.zeros(len(top))
+        shrink[seen] = np.exp(self.top[seen] - top[seen])
+        e = np.exp(z - top[d])
+        n = len(top)
+        self.weight = self.weight * shrink + np.bincount(d, e, n)
+        self.total = self.total * shrink + np.bincount(d, e * z, n)
+        self.top = top
+
+    def logits(self, bias: float) -> np.ndarray:
+        """The softmax's logits; the bias alone for a document without words."""
+        return self.total / np.where(self.weight > 0, self.weight, 1.0) + bias
+
+
+def window_scores(logits: np.ndarray, doc: np.ndarray, n_docs: int, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, score) of every window of words."""
     d, lo, hi = _windows(doc, n_docs, window)
     sums = np.concatenate([[0.0], np.cumsum(logits)])
-    out = np.full(n_docs, -np.inf)
-    if len(d):
-        z = (sums[hi] - sums[lo]) / (hi - lo)
-        np.maximum.at(out, d, z)
-    return np.where(np.isfinite(out), out, 0.0) + bias
+    return d, (sums[hi] - sums[lo]) / np.maximum(hi - lo, 1)
 
 
 def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, window: int = WINDOW, rate: float = 0.08, decay: float = 1e-6, seed: int = 7) -> Model:
@@ -160,9 +185,9 @@ def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, win
         np.maximum.at(top, d, z)
         share = np.exp(z - top[d])
         share /= np.bincount(d, share, n)[d]
-        logit = np.bincount(d, share * z, n) + bias
-        g = weight * (1 / (1 + np.exp(-logit)) - y)
-        g_win = g[d] * share / width
+        mean = np.bincount(d, share * z, n)
+        g = weight * (1 / (1 + np.exp(-np.clip(mean + bias, -40, 40))) - y)
+        g_win = g[d] * share * (1 + z - mean[d]) / width
         edge = np.bincount(lo, g_win, len(word) + 1) - np.bincount(hi, g_win, len(word) + 1)
         g_word = np.bincount(word, np.cumsum(edge)[:-1], len(per)) / per
         g_bucket = np.bincount(gram, np.repeat(g_word, per), 1 << BITS)
@@ -178,12 +203,13 @@ def train(texts: list, toxic: np.ndarray, *, dim: int = 8, epochs: int = 80, win
 
 
 def score(texts: list, model: Model) -> np.ndarray:
-    out = []
-    for lo, hi in chunks(texts):
-        words = _marked(texts[lo:hi])
-        z = pooled(word_logits(words, model.bucket), words.doc, hi - lo, model.bias)
-        out.append(1 / (1 + np.exp(-np.clip(z, -40, 40))))
-    return np.concatenate(out) if out else np.zeros(0)
+    """Scores of whole texts; a long text is read in runs of words that overlap by a window."""
+    mean = Mean(len(texts))
+    for lo, hi, part, run in runs(texts, overlap=WINDOW - 1):
+        words = _marked(run)
+        d, z = window_scores(word_logits(words, model.bucket), words.doc, hi - lo)
+        mean.add(d + lo, z)
+    return 1 / (1 + np.exp(-np.clip(mean.logits(model.bias), -40, 40)))
 
 
 def held_out(col) -> F.Column:
@@ -194,24 +220,25 @@ def held_out(col) -> F.Column:
 def labelled_sample(df: DataFrame, labels: DataFrame, label: str, classes: list, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, np.ndarray]:
     """Whole texts and labels of at most per_class documents of each class outside the held-out third.
 
-    The documents are those first in the order of a hash of their id. A document with several
-    labels has the largest. Texts over LONGEST characters, null texts and null labels are left out.
+    The documents are those first in the order of a hash of their id, among the labelled ones
+    whose text is there: labels without a document, null texts, texts over LONGEST characters and
+    null labels are left out before the sample is cut. A document with several labels has the
+    largest; of several texts, the largest in their order. Only the rows trained on are collected.
     """
-    ids = labels.where(F.col(label).isin(classes) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("label"))
-    texts = df.select(F.col(id_col), F.col(text_col).alias("text")).where((F.length("text") <= LONGEST) & F.col("text").isNotNull())
-    order = F.xxhash64(F.col(id_col).cast("string"))
+    own, text = integer_id(df, id_col), F.col(text_col)
+    fits = text.isNotNull() & (F.length(text) <= LONGEST)
+    named = labels.select(integer_id(labels, id_col).alias("id"), F.col(label).alias("label")).where(F.col("label").isin(classes) & F.col("id").isNotNull())
+    named = named.where(~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
+    usable = named.join(df.where(fits).select(own.alias("id")).distinct(), "id", "left_semi")
+    order = F.xxhash64(F.col("id").cast("string"))
     chosen = None
     for c in classes:
-        part = ids.where(F.col("label") == c).orderBy(order, id_col).limit(2 * per_class)
+        part = usable.where(F.col("label") == c).orderBy(order, "id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
-    rows = texts.join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.max("text").alias("text"), F.max("label").alias("label"))
-    rows = rows.orderBy(order, id_col).limit(2 * per_class * len(classes)).collect()
-    seen, out = dict.fromkeys(classes, 0), []
-    for r in rows:
-        if seen[r["label"]] < per_class:
-            seen[r["label"]] += 1
-            out.append((r["text"], r["label"]))
-    return [t for t, _ in out], np.array([y for _, y in out], np.float64)
+    # at most per_class rows of each class are broadcast
+    rows = df.where(fits).select(own.alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+    out = sorted(rows.collect(), key=lambda r: r["id"])
+    return [r["text"] for r in out], np.array([r["label"] for r in out], np.float64)
 
 
 def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE) -> Model:
@@ -229,10 +256,10 @@ def toxicity(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     """(id_col, held_out, score, predicted) for each row, over whole texts, without a shuffle.
 
     A null or empty text, or one without words, has the score of the softmax's bias. Null and
-    repeated ids are passed through row by row; other columns play no part.
+    repeated ids are passed through row by row; ids must be integers; other columns play no part.
     """
     small = Model(model.bucket, model.bias)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = df.select(integer_id(df, id_col).alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(lambda it: _scored(it, small), "id long, score double")
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

@@ -1,12 +1,13 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from termloom.llm import quality, toxicity
-from termloom.llm._text import Words
+from termloom.llm._text import Words, runs
 
-from .helpers import clash, rng
+from .helpers import clash, peak_mb, rng, words
 
 
 def corpus(n, seed, bad=("idiot", "moron", "scumbag")):
@@ -44,6 +45,119 @@ def test_score_of_a_word_equals_the_embedding_average():
         assert np.isclose(m.embeddings[part].mean(0) @ delta, z[i], atol=1e-4)
 
 
+ALL = np.arange(256) != 10
+
+
+def buckets(word, plus=b" "):
+    """Hash buckets of a word's character n-grams, marked at its ends, and of the word, one by one."""
+    marked = plus + word + plus
+    grams = [marked[i : i + n] for n in toxicity.SIZES for i in range(len(marked) - n + 1)]
+    return [int(Words([g], inside=ALL).hash[0]) % (1 << toxicity.BITS) for g in [word, *grams]]
+
+
+def plain_score(text, model):
+    """The score of a text from the model's embeddings and softmax, word by word."""
+    vectors = [np.mean([model.embeddings[b] for b in buckets(w)], axis=0) for w in words(text)]
+    windows = [np.mean(vectors[i : i + 2], axis=0) for i in range(max(1, len(vectors) - 1))] if vectors else []
+    delta = model.weights[:, 1] - model.weights[:, 0]
+    share = np.exp([v @ delta - max(w @ delta for w in windows) for v in windows])
+    mean = sum(s * v for s, v in zip(share / share.sum(), windows, strict=True)) if len(windows) else np.zeros(len(delta))
+    return 1 / (1 + np.exp(-(mean @ delta + model.bias)))
+
+
+def test_scores_equal_the_plain_form():
+    texts, y = corpus(120, 6)
+    m = toxicity.train(texts, y, epochs=20)
+    some = [*texts[:6], "", None, "!!", "x", "Idiot", "ünï çödé idiiot", "a" * 1500 + " b"]
+    for got, t in zip(toxicity.score(some, m), some, strict=True):
+        assert abs(got - plain_score(t, m)) < 1e-4
+
+
+def test_training_follows_the_gradient():
+    """One step moves each parameter against the slope of the loss, taken by differences."""
+    texts, y = corpus(30, 8)
+    before = toxicity.train(texts, y, epochs=1, rate=0.0)
+    after = toxicity.train(texts, y, epochs=1, rate=1e-3)
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+
+    def loss(w):
+        m = toxicity.Model((before.embeddings @ (w[:, 1] - w[:, 0])).astype(np.float64), before.bias, before.embeddings, w)
+        p = toxicity.score(texts, m)
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+
+    for i in range(3):
+        for j in range(2):
+            step = np.zeros_like(before.weights)
+            step[i, j] = 1e-4
+            slope = (loss(before.weights + step) - loss(before.weights - step)) / 2e-4
+            assert np.sign(before.weights[i, j] - after.weights[i, j]) == np.sign(slope)
+
+
+def plain_quality(text, model):
+    """(expected grade, tails) of a text, token by token."""
+    import re
+
+    tokens = re.findall(rb"[^\t-\r ]+", (text or "").encode())
+    tokens = [t[i : i + 1024] for t in tokens for i in range(0, len(t), 1024)]
+    mask, total, before, seen = (1 << quality.BITS) - 1, 0.0, 0, set()
+    hashed = lambda b: int(Words([b], inside=ALL).hash[0])
+    mixed = lambda x: int(quality.mix(np.array([x % (1 << 64)], np.uint64))[0])
+    for k, t in enumerate(tokens):
+        shape = re.sub(rb"[0-9]", b"9", re.sub(rb"[a-z\x80-\xff]", b"a", re.sub(rb"[A-Z]", b"A", t)))
+        form = hashed(re.sub(rb"(.)\1+", rb"\1", shape, flags=re.S))
+        same = k > 0 and tokens[k - 1] == t
+        for f in (hashed(t), mixed(form + 1), mixed(mixed(before + 2) + form), mixed(int(same) + 3), mixed(int(t in seen) + 7)):
+            total += model.weights[f & mask]
+        before = form
+        seen.add(t)
+    f = total / max(1, len(tokens))
+    below = [0.0, *(1 / (1 + np.exp(-(c - f))) for c in model.thresholds), 1.0]
+    return sum(g * (b - a) for g, a, b in zip(model.grades, below[:-1], below[1:], strict=True)), [1 - b for b in below[1:-1]]
+
+
+def test_quality_equals_the_plain_form():
+    m = quality.Model(rng(3).normal(0, 1, 1 << quality.BITS), np.array([-0.3, 0.2, 0.9]), [0, 1, 2, 5])
+    some = ["Some text, some Text 12 12 12 a", "", None, " \n", "x", "AAA!! AAA!! bbb", "é" * 1500 + " é", "a b a b c"]
+    expected, tails = quality.predict(some, m)
+    for i, t in enumerate(some):
+        e, tail = plain_quality(t, m)
+        assert abs(expected[i] - e) < 1e-9 and np.allclose(tails[i], tail)
+
+
+def test_long_texts_are_scored_as_in_one_piece(monkeypatch):
+    r = rng(11)
+    text = " ".join("".join(r.choice(list("abcdéf!A9"), r.integers(1, 9))) for _ in range(30000))
+    m, q = toxicity.Model(r.normal(0, 1, 1 << toxicity.BITS).astype(np.float32), -0.3), r.normal(0, 1, 1 << quality.BITS)
+    whole = toxicity.score([text, "x y"], m), quality.scales([text, "x y x"], q)
+    small = lambda texts, **how: runs(texts, limit=4096, **how)
+    monkeypatch.setattr(toxicity, "runs", small)
+    monkeypatch.setattr(quality, "runs", small)
+    assert np.allclose(whole[0], toxicity.score([text, "x y"], m)) and np.allclose(whole[1], quality.scales([text, "x y x"], q))
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    lines = "import numpy as np\nfrom termloom.llm import toxicity as t, quality as q\ntext = ' '.join(f'w{i % 90001}x{i % 7}' for i in range(2_500_000))"
+    assert peak_mb("t.score([text], t.Model(np.zeros(1 << t.BITS, np.float32), 0.0))", lines) < 400
+    assert peak_mb("q.scales([text], np.zeros(1 << q.BITS))", lines) < 400
+
+
+def test_the_sample_is_cut_among_labels_with_a_document(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)] + [(401, None), (3, "text 3"), (None, "x")], "doc_id long, text string")
+    labels = spark.range(100_400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic")).union(spark.createDataFrame([(None, 1)], "doc_id long, toxic int"))
+    texts, y = toxicity.labelled_sample(docs, labels, "toxic", [0, 1], 200)
+    want = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(int(t.split()[1]) for t in texts) == want and y.sum() == sum(i % 2 for i in want)
+    few, _ = toxicity.labelled_sample(docs, labels, "toxic", [0, 1], 20)
+    assert len(few) == 40
+
+
+def test_ids_must_be_integers(spark):
+    df = spark.createDataFrame([("x", "a")], "doc_id string, text string")
+    for call in (lambda: toxicity.toxicity(df, toxicity.train([], [])), lambda: quality.quality(df, quality.train([], [], [0, 1]))):
+        with pytest.raises(TypeError):
+            call()
+
+
 def test_long_texts_weigh_as_short_ones():
     texts, y = corpus(300, 4)
     m = toxicity.train(texts, y)
