@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, dartminhash, embedding_dedup, mixing, pivot_search, quality, token_counts, toxicity, zipwarc
 
-#: Where the public tokenizer files are; a parameter of the operators.
-TOKENIZERS = os.environ.get("TERMLOOM_TOKENIZERS", "/opt/tokenizers")
+#: The public tokenizer files that the queries use; their paths are parameters of the operators.
+BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
+#: Target shares of the mix: languages by name, six hundredths for all others; sources and topics by their tokens.
+TARGETS = {"lang": {"en": 0.4, "de": 0.18, "es": 0.18, "fr": 0.18}}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,7 @@ def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.section_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", rule="most")
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, rule="most")
 
 
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"))
+    return mixing.mixed(table(spark, sf_dir, "documents"), BYTE_BPE, targets=TARGETS)
 
 
 def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

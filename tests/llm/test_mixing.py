@@ -1,78 +1,170 @@
+"""Mixing against a plain-Python form of the whole operator, and its raking against the targets."""
+
+import base64
+import struct
+import warnings
+
 import numpy as np
+import pytest
+import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
-from termloom.llm import mixing
+from termloom.llm import mixing, token_counts
+from termloom.llm.queries import BYTE_BPE as PATH
 
-from .helpers import clash
+from .helpers import clash, rng, words
 
 
 def docs(spark, n=600):
-    return clash(spark.range(n).select(
-        F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), (F.col("id") % 17 + 1).cast("int")), F.when(F.col("id") % 5 == 0, "me@x.org").otherwise("")).alias("text"),
-        F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("s"), F.col("id") % 4)).alias("source"), F.when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("lang"),
-    )).drop("id")
+    r = rng(4)
+    rows = []
+    for i in range(n):
+        lang = "en" if i % 2 else "fr"
+        own = [f"{lang}{(i % 3) * 100 + int(x)}" for x in r.integers(0, 30, int(r.integers(40, 80)))]
+        rows.append((i, " ".join(own), "big" if i % 5 == 0 else None if i % 7 == 0 else f"s{i % 11 % 4}", lang))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+
+def plain(rows, model, targets, alpha, share, seed=17):
+    """(doc_id, topic, tokens, rate, kept) of rows (doc_id, text, source, lang), without numpy or Spark."""
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("x", pat_str=token_counts.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    described = []
+    for i, text, source, lang in rows:
+        table, found = model.tables[lang if lang in model.tables else None], words(text)
+        score = [0.0] * table.shape[1]
+        for w in found:
+            at = int(mixing.Words([w]).hash[0]) % (1 << mixing.BITS)
+            score = [s + float(v) for s, v in zip(score, table[at], strict=True)]
+        topic = f"topic{max(range(len(score)), key=lambda k: (score[k], -k))}" if found else "none"
+        described.append((i, (source, lang, topic), len(enc.encode_ordinary(text or ""))))
+    cells = {}
+    for _, c, t in described:
+        cells[c] = cells.get(c, 0) + t
+    total = sum(cells.values())
+    wants, aim = [], share * total
+    for d, name in enumerate(("source", "lang", "topic")):
+        have = {}
+        for c, t in cells.items():
+            have[c[d]] = have.get(c[d], 0) + t
+        given = targets.get(name, {})
+        power = {k: v ** alpha[name] if v else 0.0 for k, v in have.items()}
+        rest = sum(v for k, v in power.items() if k not in given)
+        part = {k: given[k] if k in given else v * ((1 - sum(given.values())) / rest if given else 1) for k, v in power.items()}
+        wants.append((have, part))
+        aim = min(aim, sum(v for k, v in have.items() if part[k] > 0))
+    marginals = []
+    for have, part in wants:
+        # by bisection: the unit at which no class gives more than it has and all give the aim
+        lo, hi = 0.0, 1e18
+        for _ in range(300):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(min(have[k], mid * part[k]) for k in have) < aim else (lo, mid)
+        marginals.append({k: min(have[k], hi * part[k]) for k in have})
+    rate = {c: min(1.0, aim / total) for c in cells}
+    for _ in range(400):
+        for d, want in enumerate(marginals):
+            have = {}
+            for c, t in cells.items():
+                have[c[d]] = have.get(c[d], 0.0) + t * rate[c]
+            rate = {c: min(1.0, r * want[c[d]] / have[c[d]]) if have[c[d]] else 0.0 for c, r in rate.items()}
+    out = {}
+    for i, c, t in described:
+        p = rate[c] if cells[c] else 1.0
+        h = xxhash.xxh64_intdigest(str(i).encode() if i is not None else b"", seed=xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=42))
+        out[i] = (c[2], t, p, (h >> 11) * 2.0**-53)
+    return out
+
+
+@pytest.mark.parametrize("targets", [{}, {"lang": {"en": 0.7}}, {"lang": {"en": 0.6, "fr": 0.4}, "source": {"big": 0.2}}])
+def test_equals_the_plain_form(spark, targets):
+    df = docs(spark, 300)
+    model = mixing.fit_topics(df, k=3)
+    got = mixing.mixed(clash(df).drop("source_", "id"), PATH, topics=model, targets=targets).collect()
+    want = plain([tuple(r) for r in df.collect()], model, targets, mixing.ALPHA, mixing.SHARE)
+    assert len(got) == 300 and len({r.topic for r in got}) == 3
+    for r in got:
+        topic, tokens, rate, drawn = want[r.doc_id]
+        assert (r.topic, r.tokens) == (topic, tokens) and abs(r.rate - rate) < 1e-6
+        assert r.kept == (drawn < r.rate)
+
+
+def test_topics_are_the_clusters_of_a_language(spark):
+    df = docs(spark)
+    names = {r.doc_id: r.topic for r in mixing.mixed(df, PATH, topics=mixing.fit_topics(df, k=3)).collect()}
+    for parity in (0, 1):
+        assert [len({names[i] for i in range(600) if i % 2 == parity and i % 3 == k}) for k in range(3)] == [1, 1, 1]
+    assert mixing.topics_of(["", None, "!!"], ["en", None, "xx"], mixing.train_topics([], [])) == ["none"] * 3
 
 
 def test_rake_meets_all_marginals():
     r = np.random.default_rng(1)
-    base = r.integers(1, 100, 60).astype(float)
+    base = r.integers(50, 100, 60).astype(float)
     keys = [np.arange(60) % 5, np.arange(60) % 3, np.arange(60) % 4]
-    targets = [r.dirichlet(np.ones(k)) for k in (5, 3, 4)]
-    f = mixing.rake(base, keys, targets)
-    w = base * f / (base * f).sum()
-    for k, t in zip(keys, targets, strict=True):
-        assert np.allclose(np.bincount(k, w), t, atol=1e-6)
+    wants = [mixing.needs(np.bincount(k, base), r.uniform(1, 2, n), 0.4 * base.sum()) for k, n in zip(keys, (5, 3, 4), strict=True)]
+    rate, worst = mixing.rake(base, keys, wants)
+    assert worst < 1e-9 and rate.max() <= 1
+    for k, w in zip(keys, wants, strict=True):
+        assert np.allclose(np.bincount(k, base * rate), w, rtol=1e-6)
+
+
+def test_needs_give_what_a_class_lacks_to_the_others():
+    got = mixing.needs(np.array([10.0, 100.0, 1000.0, 0.0]), np.array([1.0, 1.0, 2.0, 5.0]), 410.0)
+    assert np.allclose(got, [10, 100, 300, 0])
+    assert np.allclose(mixing.needs(np.array([10.0, 5.0]), np.array([1.0, 0.0]), 10.0), [10, 0])
 
 
-def test_rates_calibrate_the_marginals(spark):
+def test_rates_meet_the_marginals_and_the_budget(spark):
     df = docs(spark)
-    rows = mixing.mixed(df).collect()
-    assert len(rows) == 600 and all(0 <= r.rate <= 1 for r in rows) and max(r.rate for r in rows) == 1
-    for dim in ("source", "lang", "topic"):
-        have, want = {}, {}
-        for r in rows:
-            k = getattr(r, dim)
-            have[k] = have.get(k, 0) + r.rate * r.tokens
-            want[k] = want.get(k, 0) + r.tokens
-        want = {k: v ** mixing.ALPHA[dim] for k, v in want.items()}
-        for k in want:
-            assert abs(have[k] / sum(have.values()) - want[k] / sum(want.values())) < 1e-6
-    again = {r.doc_id: r.kept for r in mixing.mixed(df.repartition(5)).collect()}
+    rows = mixing.mixed(df, PATH, targets={"lang": {"en": 0.7, "fr": 0.3}}).collect()
+    expected = sum(r.rate * r.tokens for r in rows)
+    assert abs(expected / (0.5 * sum(r.tokens for r in rows)) - 1) < 1e-6 and all(0 <= r.rate <= 1 for r in rows)
+    assert abs(sum(r.rate * r.tokens for r in rows if r.lang == "en") / expected - 0.7) < 1e-6
+    again = {r.doc_id: r.kept for r in mixing.mixed(df.repartition(5), PATH, targets={"lang": {"en": 0.7, "fr": 0.3}}).collect()}
     assert again == {r.doc_id: r.kept for r in rows} and 0 < sum(again.values()) < 600
 
 
-def test_table_form_agrees_with_the_driver_form(spark):
-    df = docs(spark, 300)
-    rates = lambda n: {(r.doc_id): r.rate for r in mixing.mixed(df, driver_cells=n, rounds=3).collect()}
-    a, b = rates(10_000), rates(0)
-    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
+def test_table_form_is_the_driver_form(spark):
+    """Very many cells are raked by the same rule: default rounds, budgets that clip, targets, classes left out."""
+    df = spark.createDataFrame([("a", "x", 900), ("a", "y", 300), ("b", "x", 310), ("b", "y", 110), (None, "z", 0), ("c", "z", 40)], "source string, lang string, tokens long")
+    both = ["source", "lang"]
+    for dims, more in (
+        (["lang"], {}), (["lang"], {"budget": 1500.0}), (["source"], {"targets": {"source": {"c": 0.5, "b": 0.2}}, "share": 0.3}), (both, {"rounds": 5}),
+        (both, {"targets": {"lang": {"x": 1.0, "q": 0.5}}, "rounds": 3}), (both, {"targets": {"lang": {"x": 0.6, "z": 0.1}}, "rounds": 3, "budget": 1500.0}),
+    ):
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            driver, table = ({tuple(r[d] for d in dims): r.rate for r in mixing.cell_rates(df, dims, driver_cells=n, **more).collect()} for n in (100, 0))
+        assert driver.keys() == table.keys() and max(abs(driver[k] - table[k]) for k in driver) < 1e-8, more
+        assert max(driver.values()) <= 1 and driver.get((None, "z"), 1) == 1
 
 
-def test_table_form_keeps_rounds_budget_and_targets(spark, monkeypatch):
-    """With default rounds both forms give the same rates, with a budget (one that clips) and with targets."""
-    df = spark.createDataFrame([("a", "x", 900), ("a", "y", 300), ("b", "x", 310), ("b", "y", 110)], "source string, lang string, tokens long")
-    for more in ({}, {"budget": 1000.0}, {"budget": 1500.0}, {"targets": {"lang": {"x": 2.0, "z": 1.0}}}):
-        driver, table = ({(r.source, r.lang): r.rate for r in mixing.cell_rates(df, ["source", "lang"], driver_cells=n, **more).collect()} for n in (100, 0))
-        assert driver.keys() == table.keys() and max(abs(driver[k] - table[k]) for k in driver) < 1e-10
-    given = []
-    monkeypatch.setattr(mixing, "_raked_table", lambda cells, dims, alpha, targets, rounds: given.append(rounds) or cells.withColumn("factor", F.lit(1.0)))
-    mixing.cell_rates(df, ["source", "lang"], driver_cells=0)
-    assert given == [200]
+def test_contradicting_marginals_are_reported(spark):
+    df = spark.createDataFrame([("a", "x", 100), ("b", "y", 100)], "source string, lang string, tokens long")
+    for n in (100, 0):
+        with pytest.warns(UserWarning, match="not settled"):
+            mixing.cell_rates(df, ["source", "lang"], targets={"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.2, "y": 0.8}}, driver_cells=n, rounds=3).collect()
 
 
 def test_sample_keeps_rows_and_targets(spark):
-    df = docs(spark)
-    kept = {r.doc_id for r in mixing.mixed(df).collect() if r.kept}
-    s = mixing.sample(df)
-    assert s.columns == df.columns and {r.doc_id for r in s.collect()} == kept
-    only = mixing.mixed(df, targets={"lang": {"en": 1.0}}).where("kept").select("lang").distinct().collect()
+    df = clash(docs(spark))
+    kept = {r.doc_id for r in mixing.mixed(df, PATH).collect() if r.kept}
+    s = mixing.sample(df, PATH)
+    got = s.collect()
+    assert s.columns == df.columns and {r.doc_id for r in got} == kept and all(r.rate == r["topic"] == r["tokens"] == 1 for r in got)
+    only = mixing.mixed(df, PATH, targets={"lang": {"en": 1.0}}).where("kept").select("lang").distinct().collect()
     assert [r.lang for r in only] == ["en"]
-    few = mixing.mixed(df, budget=500.0).agg(F.sum(F.col("rate") * F.col("tokens"))).first()[0]
+    few = mixing.mixed(df, PATH, budget=500.0).agg(F.sum(F.col("rate") * F.col("tokens"))).first()[0]
     assert abs(few - 500) < 1
 
 
 def test_edges(spark):
     df = spark.createDataFrame([(1, None, None, None), (None, "", "a", "en"), (2, " \n ", "a", "en"), (2, "x y", "a", "en"), (2, "x y", "a", "en")], "doc_id long, text string, source string, lang string")
-    got = mixing.mixed(df).collect()
-    assert sorted(r.tokens for r in got) == [0, 0, 0, 2, 2] and all(r.rate == 1 for r in got)
-    assert mixing.mixed(df.limit(0)).count() == 0 and mixing.sample(df.limit(0)).count() == 0
+    got = mixing.mixed(df, PATH, share=1.0).collect()
+    assert sorted(r.tokens for r in got) == [0, 0, 2, 2, 3] and all(r.rate == 1 for r in got)
+    assert mixing.mixed(df.limit(0), PATH).count() == 0 and mixing.sample(df.limit(0), PATH).count() == 0
+    assert mixing.sample(df.where("doc_id = 1"), PATH).count() == 1
+    with pytest.raises(TypeError):
+        mixing.sample(df.withColumn("doc_id", F.lit("x")), PATH)

@@ -11,7 +11,7 @@ import corpus_pipeline as cp
 from termloom.llm import mixing, quality, toxicity
 from termloom.llm import queries as q
 
-from .helpers import near, sha
+from .helpers import clash, near, sha
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,8 +29,8 @@ def test_pipeline_equals_its_stages(spark):
     ids = [i for i, t in zip(ids, tails[:, -1], strict=True) if t >= 0.5]
     comp = near(ids, [rows[i].text for i in ids])
     ids = [i for i in ids if comp[i] == i]
-    drawn = {r.doc_id for r in mixing.mixed(docs.where(docs.doc_id.isin(ids))).where("kept").collect()}
-    library = Tokenizer.from_file(f"{q.TOKENIZERS}/word_bpe_49k.json")
+    drawn = {r.doc_id for r in mixing.mixed(docs.where(docs.doc_id.isin(ids)), q.BYTE_BPE, targets=q.TARGETS).where("kept").collect()}
+    library = Tokenizer.from_file(q.WORD_BPE)
     want = {}
     for i in drawn:
         t = library.encode(rows[i].text, add_special_tokens=False).ids
@@ -47,6 +47,26 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_stages_take_nulls_repeats_and_clashing_names(spark):
+    docs = q.table(spark, SF, "documents")
+    odd = docs.limit(40).union(docs.limit(40)).union(docs.limit(3).selectExpr("null", "null", "null", "null", "null")).union(docs.limit(5).selectExpr("null", "text", "lang", "source", "n_chars"))
+    odd = clash(odd.union(docs.limit(2).selectExpr("doc_id", "''", "lang", "source", "n_chars")))
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        assert out.schema.names == odd.columns and all(r.topic == 1 for r in out.collect())
+    left = cp.drop_near_duplicates(spark, odd, SF).where("text <> ''").collect()
+    assert len({r.text for r in left}) == len(left) and all(r.doc_id is not None for r in left)
+    assert cp.drop_near_duplicates(spark, odd, SF).where("text is null or text = ''").count() == 5
+    assert cp.encode(spark, odd, SF).count() == odd.count()
+
+
+def test_run_leaves_one_stage_table(spark):
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(glob.glob(f"{base}/termloom/pipeline-*/*"))
+    cp.run(spark, SF).count()
+    assert [os.path.basename(p) for p in set(glob.glob(f"{base}/termloom/pipeline-*/*")) - before] == ["mixing"]
+
+
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
