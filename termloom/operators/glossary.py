@@ -13,7 +13,11 @@ from ..functions import lexicon as L
 from ..functions import text as T
 
 #: Glossaries up to so many terms are broadcast for the substring join; larger ones go by q-grams.
-BROADCAST_TERMS = 200_000
+BROADCAST_TERMS = 500
+#: The longest substring that a term is looked up by.
+GRAM = 4
+#: Terms that are replaced in one pass.
+PASS = 20_000
 
 
 def with_aliases(g: DataFrame) -> DataFrame:
@@ -53,27 +57,49 @@ def resolve_pairs(requests: DataFrame, g: DataFrame) -> DataFrame:
     return tried.join(have, "pair").groupBy("src", "tgt").agg(F.min_by("pair", "rank").alias("pair"))
 
 
-def contained(texts: DataFrame, terms: DataFrame, *, text: str = "text", term: str = "source", limit: int = BROADCAST_TERMS) -> DataFrame:
+def contained(texts: DataFrame, terms: DataFrame, *, text: str = "text", term: str = "source", limit: int | None = None) -> DataFrame:
     """texts joined to the terms that are substrings of them (case matters, no word bounds).
 
-    Up to limit terms are broadcast to a nested loop; more are found by a shared q-gram: every
-    term has its first four characters as key, and a text is joined only on the q-grams it has.
+    Up to limit terms, each of a bounded length, are broadcast to a nested loop; more are found
+    by a shared q-gram. Both give the same rows.
     """
+    limit = BROADCAST_TERMS if limit is None else limit
     terms = terms.where(F.col(term).isNotNull() & (F.col(term) != ""))
-    if terms.limit(limit + 1).count() <= limit:
+    n, longest = terms.select(F.length(term).alias("n")).limit(limit + 1).agg(F.count("*"), F.max("n")).first()
+    if n <= limit and (longest or 0) <= 1000:
         return texts.join(F.broadcast(terms), F.col(text).contains(F.col(term)))
     return contained_by_grams(texts, terms, text=text, term=term)
 
 
-def contained_by_grams(texts: DataFrame, terms: DataFrame, *, text: str = "text", term: str = "source", q: int = 4) -> DataFrame:
-    short = terms.where(F.length(term) < q)
-    keyed = terms.where(F.length(term) >= q).withColumn("gram", F.substring(term, 1, q))
-    row = F.monotonically_increasing_id()
-    rows = texts.withColumn("row", row)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - q + 1)), lambda i: F.substring(F.col(text), i, F.lit(q))))
-    hits = rows.select("*", F.explode(grams).alias("gram")).join(keyed, "gram").where(F.col(text).contains(F.col(term))).drop("gram", "row")
-    few = rows.drop("row").join(F.broadcast(short), F.col(text).contains(F.col(term)))
-    return hits.select(*texts.columns, *terms.columns).unionByName(few.select(*texts.columns, *terms.columns))
+def _grams(value: Column, q: int) -> Column:
+    """The distinct substrings of q characters; none of a shorter text."""
+    n = F.length(value) - q + 1
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(value, i, F.lit(q)))))
+
+
+def contained_by_grams(texts: DataFrame, terms: DataFrame, *, text: str = "text", term: str = "source") -> DataFrame:
+    """Texts and terms joined on the term's rarest gram, then checked.
+
+    Only (hash of the text, gram) is exploded and shuffled, and of it only grams that a term has;
+    the texts themselves are joined once, to the pairs found.
+    """
+    body = texts.select(text).where(F.col(text).isNotNull()).distinct().select(F.xxhash64(text).alias("h"), F.col(text).alias("body"))
+    names = terms.select(F.col(term).alias("name")).distinct()
+    own = in_texts = None
+    for q in range(1, GRAM + 1):
+        mine = names.where(F.length("name") == q if q < GRAM else F.length("name") >= q).select("name", F.explode(_grams(F.col("name"), q)).alias("gram"))
+        found = body.select("h", F.explode(_grams(F.col("body"), q)).alias("gram"))
+        found = found.join(mine.select("gram").distinct(), "gram", "left_semi")
+        own = mine if own is None else own.unionByName(mine)
+        in_texts = found if in_texts is None else in_texts.unionByName(found)
+    common = in_texts.groupBy("gram").agg(F.count("*").alias("n"))
+    key = own.join(common, "gram").groupBy("name").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    pairs = in_texts.join(key, "gram").select("h", "name").distinct()
+    every = lambda df: F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    left = texts.select(every(texts).alias("left"), F.col(text).alias("body"), F.xxhash64(text).alias("h"))
+    right = terms.select(every(terms).alias("right"), F.col(term).alias("name"))
+    hits = left.join(pairs, "h").where(F.contains("body", "name"))
+    return hits.join(right, "name").select("left.*", "right.*")
 
 
 def used_terms(texts: DataFrame, g: DataFrame, pair: str, *, key: str = "doc_id") -> DataFrame:
@@ -121,14 +147,39 @@ def replace_terms(text: Column, pairs: Column, dnt: Column) -> Column:
     return F.aggregate(marked, out, lambda acc, m: F.replace(acc, m["mark"], m["term"]))
 
 
-def glossary_array(g: DataFrame, pair: str) -> DataFrame:
-    """One row with the pairs and do-not-translate terms of a glossary of checked size, for replace_terms."""
-    n = g.where(F.col("pair").isin(pair, "DNT")).limit(BROADCAST_TERMS + 1).count()
-    if n > BROADCAST_TERMS:
-        raise ValueError("the glossary is too large for ordered replacement; split it by domain")
-    own = last_wins(g.where(F.col("pair") == pair)).agg(F.collect_list(F.struct("source", "target")).alias("pairs"))
-    dnt = g.where("pair = 'DNT'").agg(F.collect_set("source").alias("dnt"))
-    return own.crossJoin(dnt)
+def _blocks(rows: DataFrame, key: str, value: str, size: int) -> DataFrame:
+    """(block, items): the rows' structs, longest key first, then by text, in blocks of size; block 0 comes first."""
+    from . import batches
+
+    order = F.concat(F.lpad((F.lit(1 << 30) - F.length(key)).cast("string"), 10, "0"), F.lit("/"), key)
+    placed = batches.numbered(rows.withColumn("place", order), "place")
+    item = F.struct("rn", F.col(key).alias("source"), F.col(value).alias("target"))
+    return placed.groupBy(F.floor((F.col("rn") - 1) / size).cast("long").alias("block")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def replaced(texts: DataFrame, g: DataFrame, pair: str, *, text: str = "text", out: str = "replaced", size: int | None = None) -> DataFrame:
+    """texts with the column out: sources replaced by targets as in replace_terms(), for a glossary of any size.
+
+    The ordered list is applied in passes over blocks of size terms, and only one block is
+    broadcast at a time.
+    """
+    size = PASS if size is None else size
+    own = last_wins(g.where(F.col("pair") == pair).where("source <> ''")).select("source", "target")
+    dnt = g.where("pair = 'DNT' and source <> ''").select("source").distinct()
+    marks = _blocks(dnt.withColumn("target", F.lit("")), "source", "target", size)
+    pairs = _blocks(own, "source", "target", size)
+    done = texts.withColumn(out, F.col(text))
+    mark = lambda m: F.concat(F.lit("__DNT_PLACEHOLDER_"), (m["rn"] - 1).cast("string"), F.lit("__"))
+
+    def each(df: DataFrame, blocks: DataFrame, step) -> DataFrame:
+        for r in blocks.select("block").orderBy("block").collect():
+            one = blocks.where(F.col("block") == r["block"]).select("items")
+            df = df.crossJoin(F.broadcast(one)).withColumn(out, F.aggregate("items", F.col(out), step)).drop("items")
+        return df
+
+    done = each(done, marks, lambda acc, m: F.replace(acc, m["source"], mark(m)))
+    done = each(done, pairs, lambda acc, m: F.replace(acc, m["source"], m["target"]))
+    return each(done, marks, lambda acc, m: F.replace(acc, mark(m), m["source"]))
 
 
 def statistics(g: DataFrame) -> DataFrame:
@@ -153,18 +204,26 @@ def header_ok(first_line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(first_line, "^﻿", ""), "\r$", "") == "source,target"
 
 
+#: What a free-text answer says when a term isn't known; the batch form has a list of its own.
+_NONE = ("no recognized glossary terminology terms were found", "no glossary terms", "no terms found")
+_FAILED = ("analysis failed", "authentication issues", "requires manual review", "rate limit", "error code: 429")
+NOT_FOUND = (*_NONE, "not found", *_FAILED)
+NOT_FOUND_BATCH = (*_NONE, "no task provided", "no task was provided", *_FAILED)
+
+
+def _denied(low: Column, phrases: tuple) -> Column:
+    return T.contains_any(low, phrases) | (low.contains("error") & low.contains("failed"))
+
+
 def answer_found(answer: Column) -> Column:
     """Whether a free-text answer says that a term is known."""
     low = F.lower(answer)
-    no = T.contains_any(low, ("no recognized glossary terminology terms were found", "no glossary terms", "no terms found", "not found", "analysis failed", "authentication issues", "requires manual review", "rate limit", "error code: 429"))
-    return ~(no | (low.contains("error") & low.contains("failed"))) & T.contains_any(low, ("found", "exists"))
+    return ~_denied(low, NOT_FOUND) & T.contains_any(low, ("found", "exists"))
 
 
 def answer_found_batch(answer: Column) -> Column:
     """The batch variant: known unless the answer says that there are no terms, no task or an error."""
-    low = F.lower(answer)
-    no = T.contains_any(low, ("no recognized glossary terminology terms were found", "no glossary terms", "no terms found", "no task provided", "no task was provided", "analysis failed", "authentication issues", "requires manual review", "rate limit", "error code: 429"))
-    return ~(no | (low.contains("error") & low.contains("failed")))
+    return ~_denied(F.lower(answer), NOT_FOUND_BATCH)
 
 
 #: What marks each class of error, in the order in which the classes are tried.
