@@ -6,20 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of a block of the global numbering.
-BLOCKS = 64
+#: Ranges of the global numbering, and keys that their bounds are taken from; numbers of a gap that one row stands for.
+BLOCKS, BOUNDS, GAP = 64, 4096, 100_000
 
 
 def numbered(df: DataFrame, order: str, out: str = "rn") -> DataFrame:
     """df with the row's place in the order of a unique key, from 1, without one task for all rows.
 
-    Ranges of the key are numbered within themselves and shifted by the sizes of earlier ranges.
+    Ranges of the key, whose bounds come from a bounded sample, are numbered within themselves
+    and shifted by the sizes of earlier ranges. A row's range depends on its key alone, so it is
+    the same whenever it is computed.
     """
-    parts = df.repartitionByRange(BLOCKS, order).withColumn("__part", F.spark_partition_id())
-    sizes = parts.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(order))
-    return parts.withColumn("__rn", within).join(F.broadcast(before), "__part").withColumn(out, (F.col("__before") + F.col("__rn")).cast("long")).drop("__part", "__rn", "__before")
+    key = F.col(order)
+    sample = sorted(r["k"] for r in df.select(key.alias("k")).where("k is not null").orderBy(F.xxhash64("k"), "k").limit(BOUNDS).collect())
+    bounds = list(dict.fromkeys(sample[len(sample) * i // BLOCKS] for i in range(1, BLOCKS))) if len(sample) > BLOCKS else []
+    part = F.coalesce(F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= key)), F.lit(0)) if bounds else F.lit(0)
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    parts = df.select(row.alias("row"), key.alias("key"), part.alias("part"))
+    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("key"))
+    # at most BLOCKS rows are broadcast
+    return parts.withColumn("within", within).join(F.broadcast(before), "part").select("row.*", (F.col("before") + F.col("within")).cast("long").alias(out))
 
 
 def assign(df: DataFrame, order: str, size: int, start: int = 1) -> DataFrame:
@@ -32,9 +40,15 @@ def next_number(batches: DataFrame) -> DataFrame:
 
 
 def missing_numbers(batches: DataFrame) -> DataFrame:
-    """(batch_id) between the smallest and the largest that aren't there."""
-    span = batches.agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).where("lo is not null")
-    return span.select(F.explode(F.sequence("lo", "hi")).alias("batch_id")).join(batches.select("batch_id").distinct(), "batch_id", "left_anti")
+    """(batch_id) between the smallest and the largest that aren't there.
+
+    Each gap between neighbours is filled on its own, a wide one from many rows.
+    """
+    at = numbered(batches.where("batch_id is not null").select(F.col("batch_id").cast("long").alias("batch_id")).distinct(), "batch_id")
+    after = at.select((F.col("rn") - 1).alias("rn"), F.col("batch_id").alias("next"))
+    gaps = at.join(after, "rn").where(F.col("next") - F.col("batch_id") > 1).select((F.col("batch_id") + 1).alias("lo"), (F.col("next") - 1).alias("hi"))
+    starts = gaps.select("hi", F.explode(F.sequence(F.col("lo"), F.col("hi"), F.lit(GAP).cast("long"))).alias("lo"))
+    return starts.repartition("lo").select(F.explode(F.sequence("lo", F.least(F.col("lo") + GAP - 1, F.col("hi")))).alias("batch_id"))
 
 
 def ranges(numbers: DataFrame) -> DataFrame:

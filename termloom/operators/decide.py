@@ -101,7 +101,12 @@ def quality_tier(score: Column) -> Column:
 
 
 def percent(x: Column) -> Column:
-    return F.concat(F.format_number(F.round(x * 100, 1), "0.0"), F.lit("%"))
+    return F.concat(F.format_string("%.1f", F.round(x * 100, 1)), F.lit("%"))
+
+
+def thousandths(x: Column) -> Column:
+    """Three decimals, halves rounded up."""
+    return F.format_string("%.3f", F.round(x, 3))
 
 
 def reasons(tr: Column, coverage: Column, same: Column, ml: Column, n_translated: Column, n_total: Column, passed: Column, n_issues: Column, n_verified: Column, usage: Column) -> Column:
@@ -114,7 +119,7 @@ def reasons(tr: Column, coverage: Column, same: Column, ml: Column, n_translated
         F.when(F.size(tr["indicators"]) > 0, F.concat(F.lit("Technical indicators: "), F.array_join(F.slice(tr["indicators"], 1, 3), ", "))),
         F.when(F.size(tr["indicators"]) >= 3, "Several technical patterns"),
         F.concat(F.lit("Recommendation: "), tr["action"]),
-        F.concat(F.lit("Quality score: "), F.format_number(ml, "0.000")),
+        F.concat(F.lit("Quality score: "), thousandths(ml)),
         F.when(n_total > 0, F.concat(F.lit("Translated: "), n_translated.cast("string"), F.lit("/"), n_total.cast("string"), F.lit(" languages"))),
         F.when(passed, "Verification: passed").when((n_issues == 0) & (n_verified == 0), "Verification: skipped").otherwise(F.concat(F.lit("Verification: failed ("), n_issues.cast("string"), F.lit(" issues)"))),
         F.when(F.size(usage) > 0, F.concat(F.lit("Usage: "), F.array_join(usage, ", "))),
@@ -126,12 +131,17 @@ def reason_text(term: Column, score: Column, status: Column, reason_list: Column
     kind = F.when(one, "single-word").otherwise("multi-word")
     return F.concat_ws(
         " ",
-        F.concat(F.lit("Term '"), term, F.lit("' ("), kind, F.lit(") scored "), F.format_number(score, "0.000"), F.lit(": "), F.upper(status), F.lit(".")),
+        F.concat(F.lit("Term '"), term, F.lit("' ("), kind, F.lit(") scored "), thousandths(score), F.lit(": "), F.upper(status), F.lit(".")),
         F.concat(F.array_join(F.slice(reason_list, 1, 2), "; "), F.lit(".")),
         F.concat(F.lit("Quality tier: "), quality_tier(score), F.lit(".")),
     )
 
 
+def by_term(decisions: DataFrame) -> DataFrame:
+    """Decisions in the order of their terms."""
+    return decisions.orderBy("term")
+
+
 def fallback_decisions(df: DataFrame, n: int = 100) -> DataFrame:
     """The decisions when no review ran: the first n terms need review, at 0.5."""
     return df.orderBy("index", "term").limit(n).select("term", F.lit("needs_review").alias("status"), F.lit(0.5).alias("final_score"))

@@ -17,12 +17,11 @@ def classify(term: Column, lexicon: L.Lexicon = L.DEFAULT) -> Column:
     def out(found, method, confidence):
         return F.struct(F.lit(found).cast("boolean").alias("in_dictionary"), F.lit(method).alias("method"), F.lit(confidence).alias("confidence"))
 
-    common, technical = (F.array(*(F.lit(x) for x in words)) for words in (lexicon.common_words, lexicon.technical_terms))
     return (
         F.when(F.length(w) < 2, out(False, "too_short", "high"))
         .when(~w.rlike(r"^[a-zA-Z'-]+$"), out(False, "non_alphabetic", "high"))
-        .when(F.array_contains(common, low), out(True, "common_word", "high"))
-        .when(F.array_contains(technical, low), out(True, "technical_term", "medium"))
+        .when(low.isin(list(lexicon.common_words)), out(True, "common_word", "high"))
+        .when(low.isin(list(lexicon.technical_terms)), out(True, "technical_term", "medium"))
         .when(F.length(w) > 25, out(False, "too_long", "medium"))
         .when(low.rlike(r"(.{3,})\1"), out(False, "repeating_pattern", "high"))
         .when(low.rlike(r"([a-z])\1{2,}"), out(False, "consecutive_letters", "medium"))

@@ -181,16 +181,24 @@ def kwic(words: Column, hit, before: int = 3, after: int = 3) -> Column:
     return F.transform(at, lambda i: F.array_join(F.slice(words, F.greatest(i - before, F.lit(0)) + 1, i + after + 1 - F.greatest(i - before, F.lit(0))), " "))
 
 
-def translation_insight(total: Column, translated: Column, same: Column, errors: Column, score: Column) -> Column:
-    """struct(confidence, label, notes) on translation results."""
+def translation_insight(total: Column, translated: Column, same: Column, errors: Column, score: Column, samples: Column) -> Column:
+    """struct(confidence, label, notes, contribution) on translation results; samples: an array of sample translations.
+
+    contribution: what the results add to the review score, 0 without any.
+    """
     conf = F.when(total > 0, (translated + same) / total * 0.4).otherwise(0.0) + score * 0.4 + F.when(total >= 50, 0.2).when(total >= 30, 0.15).when(total >= 20, 0.1).otherwise(0.0)
+    conf = F.round(conf, 3)
     label = F.when(score >= 0.8, "Excellent").when(score >= 0.6, "Good").when(score >= 0.4, "Fair").otherwise("Limited")
+    kinds = F.size(F.array_distinct(samples))
     notes = F.array_compact(F.array(
         F.when(score > 0.8, "high translatability").when(score > 0.5, "moderate translatability").otherwise("low translatability"),
         F.when(same > translated, "often unchanged"),
         F.when(errors == 0, "no errors").when(errors / F.nullif(total, F.lit(0)) > 0.2, "translation challenges"),
+        F.when(kinds == 1, "highly consistent").when((kinds > 0) & (kinds / F.size(samples) < 0.3), "consistent"),
     ))
-    return F.struct(F.round(conf, 3).alias("confidence"), label.alias("label"), notes.alias("notes"))
+    wide = F.when(total >= 50, 0.05).when(total >= 30, 0.03).when(total >= 20, 0.02).otherwise(0.0)
+    contribution = F.round(F.when(total > 0, F.round(score, 3) * 0.2 + conf * 0.1 + wide).otherwise(0.0), 6)
+    return F.struct(conf.alias("confidence"), label.alias("label"), notes.alias("notes"), contribution.alias("contribution"))
 
 
 def domain_relevance(exists: Column, related: Column, term: Column) -> Column:

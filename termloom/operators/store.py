@@ -73,12 +73,15 @@ def upsert(store: DataFrame, arrivals: DataFrame) -> DataFrame:
 
 
 def accepted(store: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """(seq, term, accepted): whether each arrival changed the store: not once its term is promoted."""
+    """(seq, term, accepted): whether each arrival changed the store: not once its term is promoted.
+
+    Only the first two arrivals of an id can be accepted, so only they are ranked.
+    """
     a = arrivals.withColumn("term_id", T.term_id(F.col("term")))
     have = store.select("term_id", F.col("occurrence_count").alias("have"), F.col("promoted_to_processing").alias("gone"))
-    rank = F.row_number().over(Window.partitionBy("term_id").orderBy("seq", "term"))
-    j = a.withColumn("rank", rank).join(have, "term_id", "left")
-    return j.select("seq", "term", (~F.coalesce("gone", F.lit(False)) & (F.col("rank") + F.coalesce("have", F.lit(0)) <= 2)).alias("accepted"))
+    first = _first_two(arrivals.select("seq", "term")).join(have, "term_id", "left")
+    taken = first.where(~F.coalesce("gone", F.lit(False)) & (F.col("rank") + F.coalesce("have", F.lit(0)) <= 2)).select("term_id", "seq", "term", F.lit(True).alias("taken")).distinct()
+    return a.join(taken, ["term_id", "seq", "term"], "left").select("seq", "term", F.coalesce("taken", F.lit(False)).alias("accepted"))
 
 
 def mark_processed(store: DataFrame, terms: DataFrame) -> DataFrame:
@@ -135,3 +138,10 @@ def cache_put(cache: DataFrame, results: DataFrame) -> DataFrame:
 
 def cache_expire(cache: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     return cache.where(F.col("created_at") >= as_of - F.make_dt_interval(F.lit(days)))
+
+
+def arrivals_of(rows: DataFrame, source_name: str, seen_at: Column) -> DataFrame:
+    """Arrivals for upsert() from rows (term, frequency, contexts, pos_tags): only terms seen once, in the order of their text."""
+    once = rows.where((F.col("frequency") == 1) & (F.col("term") != ""))
+    metadata = F.to_json(F.struct(F.lit(source_name).alias("imported_from")))
+    return once.select(F.xxhash64("term").alias("seq"), "term", F.lit(source_name).alias("source_file"), "contexts", "pos_tags", metadata.alias("metadata"), seen_at.alias("seen_at"))

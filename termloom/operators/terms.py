@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import lexicon as L
 from ..functions import text as T
@@ -25,13 +26,18 @@ def aggregate(combined: DataFrame) -> DataFrame:
     return combined.groupBy("term").agg(F.sum("frequency").cast("long").alias("frequency"), longest.alias("original_text"), F.min("source_row").alias("source_row"))
 
 
-def with_contexts(new: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """new terms with the first frequency, the texts and the distinct tags of their cleaned rows; 1 and none without any."""
-    texts = F.transform(F.array_sort(F.collect_list(F.when(F.col("original_text").isNotNull(), F.struct("source_row", "original_text")))), lambda s: s["original_text"])
-    known = cleaned.groupBy("term").agg(F.min_by("frequency", "source_row").alias("known"), texts.alias("contexts"), F.array_sort(F.collect_set("pos_tag")).alias("pos_tags"))
+def with_contexts(new: DataFrame, cleaned: DataFrame, keep: int = 10) -> DataFrame:
+    """new terms with the first frequency, the first keep texts by row, the number of texts and the distinct tags of their cleaned rows; 1 and none without any.
+
+    Rows of a term are ranked with a limit, which Spark applies before it shuffles them.
+    """
+    rank = F.row_number().over(Window.partitionBy("term").orderBy("source_row", "original_text"))
+    some = cleaned.where("original_text is not null").select("term", "source_row", "original_text", rank.alias("rank")).where(F.col("rank") <= keep)
+    texts = some.groupBy("term").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "original_text"))), lambda s: s["original_text"]).alias("contexts"))
+    known = cleaned.groupBy("term").agg(F.min_by("frequency", "source_row").alias("known"), F.count("original_text").alias("n_texts"), F.array_sort(F.collect_set("pos_tag")).alias("pos_tags"))
     none = F.array().cast("array<string>")
-    joined = new.select("term").distinct().join(known, "term", "left")
-    return joined.select("term", F.coalesce("known", F.lit(1)).alias("frequency"), F.coalesce("contexts", none).alias("contexts"), F.coalesce("pos_tags", none).alias("pos_tags"))
+    joined = new.select("term").distinct().join(known, "term", "left").join(texts, "term", "left")
+    return joined.select("term", F.coalesce("known", F.lit(1)).alias("frequency"), F.coalesce("contexts", none).alias("contexts"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("pos_tags", none).alias("pos_tags"))
 
 
 def unique_terms(df: DataFrame) -> DataFrame:

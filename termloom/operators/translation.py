@@ -63,10 +63,24 @@ def tier_languages(t: Column) -> Column:
     return F.when(t == "ultra_minimal", lit(arrays["ultra_minimal"])).when(t == "minimal", lit(arrays["minimal"])).when(t == "extended", lit(arrays["extended"])).otherwise(lit(arrays["core"]))
 
 
-def recent_average(df: DataFrame, order: str, score: str = "score", n: int = 10, out: str = "recent", by: tuple = ()) -> DataFrame:
-    """df with the mean score of the n rows before each row; null where there are fewer than n."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-n, -1)
-    return df.withColumn(out, F.when(F.count(score).over(w) >= n, F.round(F.avg(score).over(w), 6)))
+def recent_average(df: DataFrame, order: str, score: str = "score", n: int = 10, out: str = "recent", by: tuple = (), block: int = 4096) -> DataFrame:
+    """df with the mean score of the n rows before each row; null where there are fewer than n.
+
+    Without by the rows of the whole table, in the order of a unique key, are taken in blocks,
+    each with the last n rows of the one before it.
+    """
+    if by:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(-n, -1)
+        return df.withColumn(out, F.when(F.count(score).over(w) >= n, F.round(F.avg(score).over(w), 6)))
+    from . import batches
+
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    rows = batches.numbered(df.select(row.alias("row"), F.col(order).alias("key"), F.col(score).alias("score")), "key", "rn")
+    own = F.floor((F.col("rn") - 1) / block)
+    rows = rows.withColumn("own", own).withColumn("block", F.explode(F.when((F.col("rn") - 1) % block >= block - n, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy("block").orderBy("rn").rowsBetween(-n, -1)
+    rows = rows.withColumn("mean", F.when(F.count("score").over(w) >= n, F.round(F.avg("score").over(w), 6)))
+    return rows.where(F.col("own") == F.col("block")).select("row.*", F.col("mean").alias(out))
 
 
 def expansion(score: Column, done: Column, n: int = 20) -> Column:
@@ -96,7 +110,7 @@ def summary(rows: DataFrame) -> DataFrame:
 def totals(s: DataFrame) -> DataFrame:
     return s.agg(
         F.count("*").alias("terms"), F.sum("total_languages").alias("translations"), F.sum("translated_languages").alias("translated"), F.sum("same_languages").alias("same"),
-        F.sum("error_languages").alias("errors"), F.round(F.avg("translatability_score"), 6).alias("mean_score"),
+        F.sum("error_languages").alias("errors"), F.round(F.avg("translatability_score"), 6).alias("mean_score"), F.array_sort(F.collect_set(tier(category(F.col("term"))))).alias("tiers"),
     )
 
 
@@ -129,6 +143,11 @@ def verified(rows: DataFrame) -> DataFrame:
     )
 
 
+def by_index(rows: DataFrame) -> DataFrame:
+    """Verified rows in their original order."""
+    return rows.orderBy("index", "term")
+
+
 def consistency(step5: Column, step6: Column) -> Column:
     """The share of the languages of one list that are in the other; 0 where either is empty."""
     n = F.coalesce(F.size(step5), F.lit(0))

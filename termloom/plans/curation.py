@@ -10,11 +10,23 @@ from ..functions import text as T
 from ..operators import decide, dictionary, generic, scoring
 
 
-def document_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(term, frequency): cleaned words and the number of documents they occur in."""
-    words = docs.select(id_col, F.explode(F.array_distinct(F.split(text_col, r"\s+"))).alias("word"))
-    w = words.select(id_col, T.clean_term(F.col("word")).alias("term")).where("term is not null")
-    return w.groupBy("term").agg(F.count_distinct(F.col(id_col)).alias("frequency"))
+def document_words(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """(term, n): the cleaned words of each row, with their number in it.
+
+    Counted within the row, by the lengths of runs in the ordered words, so nothing but counts by
+    term is ever shuffled.
+    """
+    words = F.filter(F.transform(F.split(text_col, r"\s+"), T.clean_term), lambda t: t.isNotNull())
+    rows = docs.select(F.array_sort(words).alias("w")).where(F.size("w") > 0)
+    first = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (i == 0) | (F.get("w", i) != F.get("w", F.greatest(i - 1, F.lit(0)))))
+    rows = rows.select("w", first.alias("at"))
+    runs = F.transform("at", lambda i, k: F.struct(F.get("w", i).alias("term"), (F.coalesce(F.get("at", k + 1), F.size("w")) - i).cast("long").alias("n")))
+    return rows.select(F.inline(runs))
+
+
+def document_terms(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """(term, frequency): cleaned words and the number of rows, each a document, that they occur in."""
+    return document_words(docs, text_col=text_col).groupBy("term").agg(F.count("*").alias("frequency"))
 
 
 def scored(terms: DataFrame, lexicon: L.Lexicon = L.DEFAULT) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
-from ..operators import terms
+from ..operators import batches, store, terms
 
 TERM_COLUMNS = ("Final_Curated_Terms", "Final_Curated_Terms_Detailed")
 TEXT_COLUMNS = ("Original_Text", "Text", "Content")
@@ -53,9 +53,9 @@ def glossary_tree(spark: SparkSession, root: str) -> DataFrame:
     order = F.monotonically_increasing_id()
     rows = raw.select(pair_of_path(path).alias("pair"), path.alias("file"), T.strip(F.col("source")).alias("source"), T.strip(F.col("target")).alias("target"), order.alias("line"))
     named = rows.where("pair is not null and source <> '' and target <> ''")
-    # the order of files is that of their paths: a rank of the few paths, and the line within
-    files = named.select("file").distinct().orderBy("file").coalesce(1).withColumn("rank", F.monotonically_increasing_id())
-    return named.join(F.broadcast(files), "file").select("pair", "source", "target", (F.shiftleft(F.col("rank"), 40) + F.col("line") % F.lit(1 << 40)).alias("load_order"), "file")
+    # the order of files is that of their paths: a rank among the distinct paths, and the line within
+    files = batches.numbered(named.select("file").distinct(), "file", "rank")
+    return named.join(files, "file").select("pair", "source", "target", (F.shiftleft(F.col("rank") - 1, 40) + F.col("line") % F.lit(1 << 40)).alias("load_order"), "file")
 
 
 def first_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -137,3 +137,22 @@ def pending(spark: SparkSession, processed: DataFrame, *paths: str) -> DataFrame
     if path is None:
         raise FileNotFoundError(", ".join(paths))
     return terms.missing(term_json(spark, path), processed)
+
+
+def store_import(spark: SparkSession, path: str, seen_at: Column, source_name: str | None = None) -> DataFrame:
+    """Arrivals for the store of rare terms: the rows with frequency 1 of a JSON term file, or of a CSV with Terms and Frequency.
+
+    A CSV's Original Text and pos_tags become the contexts and tags where it has them. Rows
+    without a term are left out; a file of another kind is refused.
+    """
+    if path.rstrip("/").endswith(".json"):
+        rows = term_json(spark, path)
+    elif path.rstrip("/").endswith(".csv"):
+        df = csv(spark, path)
+        if not {"Terms", "Frequency"} <= set(df.columns):
+            raise ValueError(f"{path} has no columns Terms and Frequency")
+        one = lambda c: F.array_compact(F.array(F.col(f"`{c}`"))) if c in df.columns else F.array().cast("array<string>")
+        rows = df.select(F.col("Terms").alias("term"), F.expr("try_cast(Frequency as bigint)").alias("frequency"), one("Original Text").alias("contexts"), one("pos_tags").alias("pos_tags"))
+    else:
+        raise ValueError(f"{path} is neither JSON nor CSV")
+    return store.arrivals_of(rows, source_name or path, seen_at)

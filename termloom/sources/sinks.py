@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import batches, export, terms
+from ..operators import batches, export, store, terms
 
 MANIFEST = "step int, name string, path string, rows long, recorded_at timestamp, note string"
 
@@ -27,8 +27,10 @@ def combined_and_cleaned(combined: DataFrame, prefix: str) -> DataFrame:
 
 def step_json(df: DataFrame, path: str, **metadata) -> None:
     """A step's rows as JSON lines, and its metadata as one row beside them."""
+    spark, schema = df.sparkSession, df.schema
     df.write.mode("overwrite").json(f"{path}/rows")
-    df.sparkSession.range(1).select(*(F.lit(v).alias(k) for k, v in metadata.items()), F.lit(df.count()).alias("rows")).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    n = spark.read.schema(schema).json(f"{path}/rows").count()
+    spark.range(1).select(*(F.lit(v).alias(k) for k, v in metadata.items()), F.lit(n).alias("rows")).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
 
 def record_step(spark: SparkSession, manifest: str, step: int, name: str, path: str, note: str | None = None) -> None:
@@ -62,8 +64,10 @@ def approved_csv(decisions: DataFrame, path: str) -> None:
     one_csv(export.approved_export(decisions), path)
 
 
-def store_json(store: DataFrame, path: str) -> None:
-    store.write.mode("overwrite").json(path)
+def store_json(rows: DataFrame, path: str, as_of) -> None:
+    """The store of rare terms as JSON lines, and its statistics beside them."""
+    rows.write.mode("overwrite").json(f"{path}/terms")
+    store.statistics(rows, as_of).write.mode("overwrite").json(f"{path}/statistics")
 
 
 def consolidated(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
