@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..operators import decide, dictionary, export, generic, glossary, scoring, terms, translation
+from ..functions import text as T
+from ..operators import decide, dictionary, export, generic, glossary, scoring, store, terms, translation
 from ..sources import sinks
 
 
 @dataclass
 class Inputs:
     """combined: terms as readers.extraction gives them; glossary: (pair, source, target, load_order);
-    words: (word); languages: (language). Providers default to the offline ones."""
+    words: (word); languages: (language); store: the store of rare terms after earlier runs. Providers default to the
+    offline ones."""
 
     combined: DataFrame
     glossary: DataFrame
@@ -28,6 +30,7 @@ class Inputs:
     translate: translation.Translator | None = None
     lexicon: L.Lexicon = field(default_factory=L.Lexicon)
     least: int = 2
+    store: DataFrame | None = None
 
 
 def new_terms(cleaned: DataFrame, known: DataFrame) -> DataFrame:
@@ -35,6 +38,12 @@ def new_terms(cleaned: DataFrame, known: DataFrame) -> DataFrame:
     return glossary.verdict(cleaned, known)[1]
 
 
+def rare_store(known: DataFrame, rare: DataFrame, run_name: str) -> DataFrame:
+    """Step 4: the store after this run's rare terms have arrived, each once."""
+    arrivals = rare.select(F.xxhash64("term").alias("seq"), "term", F.lit(run_name).alias("source_file"), "contexts", "pos_tags", F.lit(None).cast("string").alias("metadata"), F.current_timestamp().alias("seen_at"))
+    return store.upsert(known, arrivals)
+
+
 def translated(rows: DataFrame, languages: DataFrame, translate: translation.Translator, lexicon: L.Lexicon) -> DataFrame:
     """Step 5: every term in the languages of its tier that are there; the tier prunes before the translator runs."""
     tier = translation.tier(translation.category(F.col("term"), lexicon))
@@ -56,7 +65,13 @@ def decided(enriched: DataFrame, summary: DataFrame, checked: DataFrame, lexicon
         F.coalesce("verified_count", F.lit(0)), scoring.context_quality(texts), scoring.semantic_richness(term, texts), F.col("generic.penalty"),
     )
     t = t.withColumn("final_score", score).withColumn("status", decide.decision(F.col("final_score"), F.col("tr.action"), term))
-    return t.select("term", "frequency", F.col("contexts").alias("texts"), "in_dictionary", F.col("tr.category").alias("category"), F.col("tr.action").alias("action"), "final_score", "status", F.upper("status").alias("decision"), decide.quality_tier(F.col("final_score")).alias("quality_tier"))
+    zero = F.lit(0)
+    why = decide.reasons(
+        F.col("tr"), F.col("coverage"), F.col("same"), F.col("quality"), F.coalesce("translated_languages", zero), F.coalesce("total_languages", zero), F.coalesce("verification_passed", F.lit(False)),
+        F.coalesce("verification_issues_count", zero), F.coalesce("verified_count", zero), scoring.usage_patterns(texts),
+    )
+    t = t.withColumn("reasons", why).withColumn("reason_text", decide.reason_text(term, F.col("final_score"), F.col("status"), F.col("reasons")))
+    return t.select("reasons", "reason_text", "term", "frequency", F.col("contexts").alias("texts"), "in_dictionary", F.col("tr.category").alias("category"), F.col("tr.action").alias("action"), "final_score", "status", F.upper("status").alias("decision"), decide.quality_tier(F.col("final_score")).alias("quality_tier"))
 
 
 def run(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
@@ -66,7 +81,11 @@ def run(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     cleaned = step(1, "cleaned", lambda: terms.aggregate(inputs.combined).withColumn("pos_tag", F.lit("UNKNOWN")))
     new = step(2, "new_terms", lambda: new_terms(cleaned, inputs.glossary.where("pair = 'DNT'")))
     enriched = step(3, "enriched", lambda: dictionary.classify_terms(terms.with_contexts(new, cleaned), inputs.words, inputs.lexicon))
-    often = step(4, "frequent", lambda: terms.split_by_frequency(enriched, inputs.least)[0])
+    frequent, rare = terms.split_by_frequency(enriched, inputs.least)
+    # rare terms wait in the store; those seen in an earlier run too are promoted and go on
+    kept = step(41, "store", lambda: rare_store(inputs.store if inputs.store is not None else store.empty(spark), rare, out))
+    promoted = kept.where("status = 'promoted'").select(F.col("term_id"))
+    often = step(4, "frequent", lambda: frequent.unionByName(rare.join(promoted, T.term_id(F.col("term")) == F.col("term_id"), "left_semi")))
     translate = inputs.translate or translation.glossary_translator(inputs.glossary.withColumn("language", F.col("pair")))
     rows = step(5, "translations", lambda: translated(often, inputs.languages, translate, inputs.lexicon))
     checked = step(6, "verified", lambda: translation.verified(rows))
