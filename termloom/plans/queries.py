@@ -12,7 +12,7 @@ from ..functions import lexicon as L
 from ..functions import text as T
 from ..operators import batches, context, decide, dictionary, export, generic, glossary, scoring, store, terms, translation
 from . import fixtures as X
-from .curation import curate
+from .curation import curate, document_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,8 +77,7 @@ def _first(rules, other: str) -> str:
 
 JOINED = "lower(array_to_string(contexts, ' '))"
 N_CTX = "len(contexts)"
-TERM_FIELD = "replace(left(text, 400), ' ', CASE WHEN doc_id % 3 = 0 THEN '|' WHEN doc_id % 3 = 1 THEN ',' ELSE ' ' END)"
-TERM_FIELD_WHOLE = "replace(text, ' ', CASE WHEN doc_id % 3 = 0 THEN '|' WHEN doc_id % 3 = 1 THEN ',' ELSE ' ' END)"
+TERM_FIELD = "replace(text, ' ', CASE WHEN doc_id % 3 = 0 THEN '|' WHEN doc_id % 3 = 1 THEN ',' ELSE ' ' END)"
 
 
 def _terms(spark, d):
@@ -105,21 +104,12 @@ SELECT term, CAST(count(*) AS BIGINT) AS frequency, CAST(count(DISTINCT doc_id)
 """)
 def term_extract_freq(spark, d):
     """Cleaned words of all documents with their counts."""
-    w = X.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("w"))
-    # counted within documents before the shuffle, and cleaned once for each distinct word of a document
-    per = w.groupBy("doc_id", "w").agg(F.count("*").alias("n"))
-    c = per.select("doc_id", T.clean_term(F.col("w")).alias("term"), "n").where("term is not null")
-    return c.groupBy("doc_id", "term").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum("n").alias("frequency"), F.count("*").alias("n_documents"))
-
-
-@query(f"SELECT doc_id, {_clean('left(text, 60)')} AS term FROM documents")
-def clean_term(spark, d):
-    """A cleaned piece of each document."""
-    return X.table(spark, d, "documents").select("doc_id", T.clean_term(F.substring("text", 1, 60)).alias("term"))
+    per = document_words(X.table(spark, d, "documents"))
+    return per.groupBy("term").agg(F.sum("n").alias("frequency"), F.count("*").alias("n_documents"))
 
 
 @query(f"SELECT doc_id, {_clean('text')} AS term FROM documents")
-def clean_term_whole(spark, d):
+def clean_term(spark, d):
     """Each document, cleaned as a whole."""
     return X.table(spark, d, "documents").select("doc_id", T.clean_term(F.col("text")).alias("term"))
 
@@ -131,19 +121,6 @@ c AS (SELECT DISTINCT doc_id, {_clean("x")} AS term FROM p)
 SELECT doc_id AS source_row, term, CAST(1 AS BIGINT) AS frequency FROM c WHERE term IS NOT NULL
 """)
 def parse_term_field_split(spark, d):
-    """Terms of a field with bars or commas, each once for a row."""
-    field = F.replace(F.substring("text", 1, 400), F.lit(" "), F.when(F.col("doc_id") % 3 == 0, "|").when(F.col("doc_id") % 3 == 1, ",").otherwise(" "))
-    docs = X.table(spark, d, "documents").select("doc_id", field.alias("Final_Curated_Terms"))
-    return terms.row_terms(docs, ["Final_Curated_Terms"], [], "doc_id").select("source_row", "term", "frequency")
-
-
-@query(f"""
-WITH f AS (SELECT doc_id, {TERM_FIELD_WHOLE} AS v FROM documents),
-p AS (SELECT doc_id, unnest(CASE WHEN contains(v, '|') THEN string_split(v, '|') WHEN contains(v, ',') THEN string_split(v, ',') ELSE [v] END) AS x FROM f),
-c AS (SELECT DISTINCT doc_id, {_clean("x")} AS term FROM p)
-SELECT doc_id AS source_row, term, CAST(1 AS BIGINT) AS frequency FROM c WHERE term IS NOT NULL
-""")
-def parse_term_field_split_whole(spark, d):
     """Terms of a field that holds the whole text, each once for a row."""
     field = F.replace("text", F.lit(" "), F.when(F.col("doc_id") % 3 == 0, "|").when(F.col("doc_id") % 3 == 1, ",").otherwise(" "))
     docs = X.table(spark, d, "documents").select("doc_id", field.alias("Final_Curated_Terms"))
@@ -186,7 +163,7 @@ def context_samples(spark, d):
 
 
 # aggregates, filters, order, sets -------------------------------------------------------------
-AGG_INPUT = "SELECT doc_id AS source_row, lang AS term, 1 AS frequency, left(text, 200) AS original_text FROM {documents} UNION ALL SELECT doc_id, source, 1, left(text, CAST(doc_id % 7 AS INT) * 10) FROM {documents}"
+AGG_INPUT = "SELECT doc_id AS source_row, lang AS term, 1 AS frequency, text AS original_text FROM {documents} UNION ALL SELECT doc_id, source, 1, concat(lang, repeat('-', CAST(doc_id % 7 AS INT))) FROM {documents}"
 
 
 @query(f"""
@@ -251,42 +228,22 @@ def unique_terms(spark, d):
     return terms.unique_terms(_terms(spark, d))
 
 
-CLEANED = "SELECT p_name AS term, p_size AS frequency, p_type AS original_text, p_partkey AS source_row, p_brand AS pos_tag FROM {part} WHERE p_partkey % 3 = 0"
+CLEANED = "SELECT p_name AS term, p_size AS frequency, p_type AS original_text, p_partkey AS source_row, p_brand AS pos_tag FROM {part}"
 
 
 @query(f"""
-WITH c AS ({CLEANED}), n AS (SELECT DISTINCT p_name AS term FROM part WHERE p_partkey % 2 = 0 UNION SELECT 'unknown term')
+WITH c AS ({CLEANED}), n AS (SELECT DISTINCT term FROM ({X.TERMS}) AS t)
 SELECT n.term, CAST(coalesce(arg_min(c.frequency, c.source_row), 1) AS BIGINT) AS frequency, count(c.original_text) AS n_texts, coalesce(string_agg(DISTINCT c.pos_tag, ',' ORDER BY c.pos_tag), '') AS tags
 FROM n LEFT JOIN c ON c.term = n.term GROUP BY n.term
 """)
 def cleaned_context(spark, d):
-    new = X.table(spark, d, "part").where("p_partkey % 2 = 0").select(F.col("p_name").alias("term")).union(spark.createDataFrame([("unknown term",)], "term string"))
-    t = terms.with_contexts(new, X.fixture(spark, d, CLEANED))
-    return t.select("term", "frequency", F.size("contexts").alias("n_texts"), F.array_join("pos_tags", ",").alias("tags"))
-
-
-CLEANED_WHOLE = "SELECT p_name AS term, p_size AS frequency, p_type AS original_text, p_partkey AS source_row, p_brand AS pos_tag FROM {part}"
-
-
-@query(f"""
-WITH c AS ({CLEANED_WHOLE}), n AS (SELECT DISTINCT term FROM ({X.TERMS}) AS t)
-SELECT n.term, CAST(coalesce(arg_min(c.frequency, c.source_row), 1) AS BIGINT) AS frequency, count(c.original_text) AS n_texts, coalesce(string_agg(DISTINCT c.pos_tag, ',' ORDER BY c.pos_tag), '') AS tags
-FROM n LEFT JOIN c ON c.term = n.term GROUP BY n.term
-""")
-def cleaned_context_whole(spark, d):
     """All terms against all parts; terms of other columns and tables have no cleaned row."""
-    t = terms.with_contexts(_terms(spark, d), X.fixture(spark, d, CLEANED_WHOLE))
-    return t.select("term", "frequency", F.size("contexts").alias("n_texts"), F.array_join("pos_tags", ",").alias("tags"))
-
-
-@query("SELECT doc_id AS term, 'old' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'new' FROM labels WHERE doc_id % 2 <> 0 OR doc_id NOT IN (SELECT doc_id FROM documents)")
-def merge_new(spark, d):
-    old = X.table(spark, d, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("term"), F.lit("old").alias("origin"))
-    return terms.merge_new(old, X.table(spark, d, "labels").select(F.col("doc_id").alias("term"), F.lit("new").alias("origin")))
+    t = terms.with_contexts(_terms(spark, d), X.fixture(spark, d, CLEANED))
+    return t.select("term", "frequency", "n_texts", F.array_join("pos_tags", ",").alias("tags"))
 
 
 @query("SELECT doc_id AS term, 'old' AS origin FROM labels UNION ALL SELECT doc_id, 'new' FROM documents AS d WHERE NOT EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)")
-def merge_new_whole(spark, d):
+def merge_new(spark, d):
     """All labelled documents, and every other document as new."""
     old = X.table(spark, d, "labels").select(F.col("doc_id").alias("term"), F.lit("old").alias("origin"))
     return terms.merge_new(old, X.table(spark, d, "documents").select(F.col("doc_id").alias("term"), F.lit("new").alias("origin")))
@@ -359,23 +316,14 @@ def _nested_replace(x: str, pairs) -> str:
 
 
 _PLACEHOLDERS = [(t, f"__DNT_PLACEHOLDER_{i}__") for i, t in enumerate(("ation", "that", "ou"))]
-_REPLACED = _nested_replace("left(text, 500)", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
-_REPLACED_WHOLE = _nested_replace("text", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
+_REPLACED = _nested_replace("text", [*_PLACEHOLDERS, ("ation", "ierung"), ("thing", "Ding"), ("bolt", "Bolzen"), ("ing", "end"), ("the", "die"), *((b, a) for a, b in _PLACEHOLDERS)])
 
 
 @query(f"SELECT doc_id, {_REPLACED} AS replaced FROM documents")
 def replace_terms(spark, d):
-    g = glossary.glossary_array(_glossary(spark, d), "ENG-DEU")
-    docs = X.table(spark, d, "documents").select("doc_id", F.substring("text", 1, 500).alias("text"))
-    return docs.crossJoin(F.broadcast(g)).select("doc_id", glossary.replace_terms(F.col("text"), F.col("pairs"), F.col("dnt")).alias("replaced"))
-
-
-@query(f"SELECT doc_id, {_REPLACED_WHOLE} AS replaced FROM documents")
-def replace_terms_whole(spark, d):
     """Replacements throughout each document."""
-    g = glossary.glossary_array(_glossary(spark, d), "ENG-DEU")
     docs = X.table(spark, d, "documents").select("doc_id", "text")
-    return docs.crossJoin(F.broadcast(g)).select("doc_id", glossary.replace_terms(F.col("text"), F.col("pairs"), F.col("dnt")).alias("replaced"))
+    return glossary.replaced(docs, _glossary(spark, d), "ENG-DEU").select("doc_id", "replaced")
 
 
 QC = "SELECT p_brand AS file, CASE WHEN p_partkey % 11 = 0 THEN ' ' || p_name WHEN p_partkey % 13 = 0 THEN '  ' ELSE p_name END AS source, CASE WHEN p_partkey % 7 = 0 THEN p_type || '\"' ELSE p_type END AS target FROM {part}"
@@ -443,6 +391,7 @@ def _dict(x: str) -> str:
         [
             (f"length({x}) < 2", "'too_short'"), (f"NOT regexp_matches({x}, '^[a-zA-Z''-]+$')", "'non_alphabetic'"), (_in(f"lower({x})", L.DEFAULT.common_words), "'common_word'"),
             (_in(f"lower({x})", L.DEFAULT.technical_terms), "'technical_term'"), (f"length({x}) > 25", "'too_long'"),
+            (f"len(list_filter(range(1, length({x})), lambda i: len(list_filter(range(3, 13), lambda k: i + 2 * k <= length({x}) + 1 AND substr(lower({x}), i, k) = substr(lower({x}), i + k, k))) > 0)) > 0", "'repeating_pattern'"),
             ("(" + " OR ".join(f"contains(lower({x}), '{c * 3}')" for c in "abcdefghijklmnopqrstuvwxyz") + ")", "'consecutive_letters'"),
         ],
         "'uncertain'",
@@ -483,6 +432,9 @@ CATEGORY = _first(
 )
 
 
+_TIER_OF = "CASE WHEN category IN ('ultra_technical', 'version') THEN 'ultra_minimal' WHEN category IN ('brand', 'technical') THEN 'minimal' ELSE 'core' END"
+
+
 @query(f"SELECT term, {CATEGORY} AS category FROM ({X.TERMS}) AS t")
 def term_category(spark, d):
     return _terms(spark, d).select("term", translation.category(F.col("term")).alias("category"))
@@ -525,10 +477,11 @@ def translation_summary(spark, d):
 @query(f"""
 WITH t AS (SELECT term, {KIND} AS kind FROM ({X.TRANSLATIONS}) AS x), s AS (SELECT term, count(*) AS n, count(*) FILTER (WHERE kind = 'translated') AS tr, count(*) FILTER (WHERE kind = 'same') AS sm, count(*) FILTER (WHERE kind = 'error') AS er FROM t GROUP BY term)
 SELECT count(*) AS terms, CAST(sum(n) AS BIGINT) AS translations, CAST(sum(tr) AS BIGINT) AS translated, CAST(sum(sm) AS BIGINT) AS same, CAST(sum(er) AS BIGINT) AS errors,
- round(avg(round(CASE WHEN tr + sm > 0 THEN tr / (tr + sm) ELSE 0.0 END, 6)), 6) AS mean_score FROM s
+ round(avg(round(CASE WHEN tr + sm > 0 THEN tr / (tr + sm) ELSE 0.0 END, 6)), 6) AS mean_score,
+ (SELECT string_agg(DISTINCT tier, ',' ORDER BY tier) FROM (SELECT {_TIER_OF} AS tier FROM (SELECT term, {CATEGORY} AS category FROM s) AS c) AS y) AS tiers FROM s
 """)
 def translation_totals(spark, d):
-    return translation.totals(translation.summary(_translations(spark, d)))
+    return translation.totals(translation.summary(_translations(spark, d))).withColumn("tiers", F.array_join("tiers", ","))
 
 
 @query(f"WITH s AS (SELECT term, count(*) AS n FROM ({X.TRANSLATIONS}) AS x GROUP BY term) SELECT CAST(sum(n) AS BIGINT) AS processed, round((count(*) * 202 - sum(n)) / (count(*) * 202) * 100, 6) AS saved_percent FROM s")
@@ -805,22 +758,15 @@ def kwic(spark, d):
     return c.select("conv_id", "turn", F.inline(both)).toDF("conv_id", "turn", "place", "around")
 
 
-ANSWERS = "SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'Term found in glossary' WHEN 1 THEN 'No terms found here' WHEN 2 THEN 'Error code: 429 rate limit' WHEN 3 THEN '502 Bad Gateway' ELSE 'it exists; access token Expired' END || ' ' || left(text, 20) AS answer FROM {conversations}"
-ANSWERS_WHOLE = "SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'Term found in glossary' WHEN 1 THEN 'No terms found here' WHEN 2 THEN 'Error code: 429 rate limit' WHEN 3 THEN '502 Bad Gateway' ELSE 'it exists; access token Expired' END || ' ' || text AS answer FROM {conversations}"
+ANSWERS = "SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'Term found in glossary' WHEN 1 THEN 'No terms found here' WHEN 2 THEN 'Error code: 429 rate limit' WHEN 3 THEN '502 Bad Gateway' ELSE 'it exists; access token Expired' END || ' ' || text AS answer FROM {conversations}"
 _ERRORS = _first([(_any("lower(answer)", signs), f"'{name}'") for name, signs in glossary.ERRORS], "NULL")
-_NO = ("no recognized glossary terminology terms were found", "no glossary terms", "no terms found", "not found", "analysis failed", "authentication issues", "requires manual review", "rate limit", "error code: 429")
+_NO = glossary.NOT_FOUND
 
 
 @query(f"WITH a AS ({ANSWERS}) SELECT conv_id, turn, NOT ({_any('lower(answer)', _NO)} OR (contains(lower(answer), 'error') AND contains(lower(answer), 'failed'))) AND (contains(lower(answer), 'found') OR contains(lower(answer), 'exists')) AS hit, {_ERRORS} AS error_class FROM a")
 def answer_classes(spark, d):
-    a = X.fixture(spark, d, ANSWERS)
-    return a.select("conv_id", "turn", glossary.answer_found(F.col("answer")).alias("hit"), glossary.error_class(F.col("answer")).alias("error_class"))
-
-
-@query(f"WITH a AS ({ANSWERS_WHOLE}) SELECT conv_id, turn, NOT ({_any('lower(answer)', _NO)} OR (contains(lower(answer), 'error') AND contains(lower(answer), 'failed'))) AND (contains(lower(answer), 'found') OR contains(lower(answer), 'exists')) AS hit, {_ERRORS} AS error_class FROM a")
-def answer_classes_whole(spark, d):
     """Answers that hold the whole text of each turn."""
-    a = X.fixture(spark, d, ANSWERS_WHOLE)
+    a = X.fixture(spark, d, ANSWERS)
     return a.select("conv_id", "turn", glossary.answer_found(F.col("answer")).alias("hit"), glossary.error_class(F.col("answer")).alias("error_class"))
 
 
@@ -993,10 +939,25 @@ def salvage_json(spark, d):
     return readers.salvage(X.table(spark, d, "events").select(damaged.alias("text")), "term string, status string")
 
 
-@query(r"""
-WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents), c AS (SELECT doc_id, CLEAN AS term FROM w), f AS (SELECT term, count(DISTINCT doc_id) AS frequency FROM c WHERE term IS NOT NULL GROUP BY term HAVING count(DISTINCT doc_id) >= 2)
-SELECT count(*) AS n_terms, CAST(sum(frequency) AS BIGINT) AS n FROM f
-""".replace("CLEAN", _clean("w")))
+CURATED = rf"""SELECT term, frequency, CAST([] AS VARCHAR[]) AS contexts FROM (
+  SELECT term, count(DISTINCT doc_id) AS frequency FROM (SELECT doc_id, {_clean("w")} AS term FROM (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents) AS x) AS y WHERE term IS NOT NULL GROUP BY term HAVING count(DISTINCT doc_id) >= 2) AS z"""
+
+
+def _over(sql: str) -> str:
+    """A query on terms and contexts, on the terms of all documents."""
+    return sql.replace(X.CONTEXTS, "SELECT * FROM curated")
+
+
+@query(f"""
+WITH curated AS MATERIALIZED ({CURATED}), dic AS (SELECT term, {_dict("term")} AS rule FROM curated),
+gen AS ({_over(GENERIC)} SELECT term, votes, {PENALTY} AS penalty FROM g),
+rev AS (WITH c AS ({_over(CTX_BASE)}) SELECT term, {CTX_SCORE} AS rel FROM c),
+qual AS ({_over(PENALTIES)}, r AS (SELECT p.*, rev.rel FROM p JOIN rev ON rev.term = p.term) SELECT term, frequency, rel, n, {QUALITY} AS quality FROM r),
+f AS (SELECT qual.term, frequency, n, rule, votes, gen.penalty AS penalty, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, quality * 0.25 + rel * 0.2 + gen.penalty + 0.25)), 6) AS final_score, '' AS action
+  FROM qual JOIN gen ON gen.term = qual.term JOIN dic ON dic.term = qual.term)
+SELECT term, frequency, CASE WHEN rule <> 'uncertain' THEN rule IN ('common_word', 'technical_term') END AS in_dictionary, rule AS method, CAST(votes AS BIGINT) AS votes, penalty, final_score,
+ {DECIDE} AS status, {TIER} AS quality_tier FROM f
+""")
 def curated_terms(spark, d):
-    """How many terms the curation of all documents decides, and their documents."""
-    return curate(X.table(spark, d, "documents")).agg(F.count("*").alias("n_terms"), F.sum("frequency").alias("n"))
+    """Every term of at least two documents with its dictionary rule, genericness, score and decision."""
+    return curate(X.table(spark, d, "documents"))

@@ -103,3 +103,44 @@ def test_collector_keeps_each_term_once(spark, tmp_path):
     stream = spark.readStream.schema("term string, status string, seq long").option("maxFilesPerTrigger", 1).parquet(str(src))
     streaming.collect_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
     assert sorted(r.term for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "c0", "c1"]
+
+
+def test_store_import(spark, tmp_path):
+    rows = [{"term": "bolt", "frequency": 1, "original_texts": {"texts": ["a"]}, "pos_tag_variations": {"tags": ["N"]}}, {"term": "the", "frequency": 9}, {"term": "", "frequency": 1}, {"term": "nut"}]
+    (tmp_path / "t.json").write_text(json.dumps({"terms": rows}))
+    (tmp_path / "t.csv").write_text("Terms,Frequency,Original Text\ngear,1,a gear\nmesh,2,x\nbolt,1,\n")
+    (tmp_path / "bad.csv").write_text("x,y\n1,2\n")
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    one = readers.store_import(spark, str(tmp_path / "t.json"), now, "source")
+    two = readers.store_import(spark, str(tmp_path / "t.csv"), now)
+    assert {(r.term, r.source_file, tuple(r.contexts), tuple(r.pos_tags)) for r in one.collect()} == {("bolt", "source", ("a",), ("N",)), ("nut", "source", (), ())}
+    assert {(r.term, tuple(r.contexts)) for r in two.collect()} == {("gear", ("a gear",)), ("bolt", ())}
+    kept = {r.term: (r.status, r.occurrence_count) for r in store.upsert(store.upsert(store.empty(spark), one), two).collect()}
+    assert kept == {"bolt": ("promoted", 2), "nut": ("stored", 1), "gear": ("stored", 1)}
+    for bad in ("bad.csv", "t.txt"):
+        with pytest.raises(ValueError):
+            readers.store_import(spark, str(tmp_path / bad), now)
+
+
+def test_store_export_has_statistics(spark, tmp_path):
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    arrivals = store.arrivals_of(spark.createDataFrame([("bolt", 1, ["a"], ["N"])], "term string, frequency long, contexts array<string>, pos_tags array<string>"), "s", now)
+    sinks.store_json(store.upsert(store.empty(spark), arrivals), str(tmp_path / "out"), now)
+    assert spark.read.json(str(tmp_path / "out" / "terms")).first().term == "bolt"
+    assert {r.measure: r.n for r in spark.read.json(str(tmp_path / "out" / "statistics")).collect()}["total_terms"] == 1
+
+
+def test_step_json_and_split(spark, tmp_path):
+    df = spark.createDataFrame([("a", True), ("b", False), ("c", False)], "term string, in_dictionary boolean")
+    sinks.step_json(df, str(tmp_path / "step"), step=3, note="x")
+    assert spark.read.json(str(tmp_path / "step" / "rows")).count() == 3 and spark.read.json(str(tmp_path / "step" / "metadata")).first().asDict() == {"step": 3, "note": "x", "rows": 3}
+    sinks.by_dictionary(df, str(tmp_path / "split"))
+    assert {r.term for r in spark.read.json(str(tmp_path / "split" / "in_dictionary=false")).collect()} == {"b", "c"}
+
+
+def test_pending_terms(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps([{"term": "bolt"}, {"term": "nut"}]))
+    done = spark.createDataFrame([("nut",)], "term string")
+    assert [r.term for r in readers.pending(spark, done, str(tmp_path / "none.json"), str(tmp_path / "t.json")).collect()] == ["bolt"]
+    with pytest.raises(FileNotFoundError):
+        readers.pending(spark, done, str(tmp_path / "none.json"))

@@ -168,8 +168,76 @@ def g(spark):
 
 
 def test_replace_longest_first_and_protect(spark):
-    text = col(spark, ["new bolt head and bolt in newton"], "text").crossJoin(glossary.glossary_array(g(spark), "ENG-DEU"))
-    assert text.select(glossary.replace_terms(F.col("text"), F.col("pairs"), F.col("dnt")).alias("x")).first().x == "neu Kopf and Bolzen in newton"
+    text = col(spark, ["new bolt head and bolt in newton", None, ""], "text")
+    for size in (None, 1, 2):
+        got = [r.replaced for r in glossary.replaced(text, g(spark), "ENG-DEU", size=size).collect()]
+        assert got == ["neu Kopf and Bolzen in newton", None, ""]
+    pairs = F.array(*(F.struct(F.lit(a).alias("source"), F.lit(b).alias("target")) for a, b in (("new", "neu"), ("bolt", "Bolzen"), ("bolt head", "Kopf"))))
+    assert text.select(glossary.replace_terms(F.col("text"), pairs, F.array(F.lit("newton"))).alias("x")).first().x == "neu Kopf and Bolzen in newton"
+    assert glossary.replaced(text, g(spark).limit(0), "ENG-DEU").where("replaced = text").count() == 2
+
+
+def test_replacements_may_give_rise_to_later_ones(spark):
+    """A target that holds a shorter source is replaced again, in one pass as in many."""
+    rows = [("ENG-DEU", "aaa", "xbb", 1), ("ENG-DEU", "bb", "c", 2), ("ENG-DEU", "x", "y", 3)]
+    own = spark.createDataFrame(rows, "pair string, source string, target string, load_order long")
+    assert [glossary.replaced(col(spark, ["aaa"], "text"), own, "ENG-DEU", size=k).first().replaced for k in (1, 5)] == ["yc", "yc"]
+
+
+def test_many_terms_by_grams(spark):
+    """All lengths of terms, repeated texts and repeated terms, against Python."""
+    import random
+
+    r = random.Random(2)
+    texts = ["".join(r.choices("abc ", k=r.randint(0, 30))) for _ in range(60)] + ["aaaa", "aaaa", None, ""]
+    names = sorted({"".join(r.choices("abc", k=r.randint(1, 7))) for _ in range(60)})
+    df, t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), col(spark, [*names, "", None], "source")
+    want = sorted((i, n) for i, x in enumerate(texts) if x is not None for n in names if n in x)
+    for limit in (0, 1000):
+        assert sorted((x.doc_id, x.source) for x in glossary.contained(df, t, limit=limit).collect()) == want
+
+
+def test_numbered_is_the_place_in_the_order(spark):
+    import random
+
+    keys = random.Random(3).sample(range(100_000), 3000)
+    df = spark.createDataFrame([(k, f"k{k}") for k in keys], "k long, s string")
+    assert [(r.k, r.rn) for r in batches.numbered(df, "k").orderBy("k").collect()] == [(k, i + 1) for i, k in enumerate(sorted(keys))]
+    assert [(r.s, r.rn) for r in batches.numbered(df.repartition(7), "s").orderBy("rn").collect()] == [(k, i + 1) for i, k in enumerate(sorted(f"k{k}" for k in keys))]
+    assert batches.numbered(df.limit(0), "k").count() == 0
+    clash = spark.createDataFrame([(5, 1, 2), (3, 4, 5)], "part long, n long, before long")
+    assert [tuple(r) for r in batches.numbered(clash, "part").orderBy("rn").collect()] == [(3, 4, 5, 1), (5, 1, 2, 2)]
+
+
+def test_missing_numbers_of_wide_gaps(spark, monkeypatch):
+    monkeypatch.setattr(batches, "GAP", 7)
+    have = [3, 4, 9, 100, 100, None, 130]
+    got = batches.missing_numbers(spark.createDataFrame([(x,) for x in have], "batch_id long"))
+    assert sorted(r.batch_id for r in got.collect()) == [i for i in range(3, 131) if i not in have]
+
+
+def test_recent_average_of_the_whole_table(spark):
+    values = [(i, float(i * 7 % 11)) for i in range(100)]
+    df = spark.createDataFrame(values, "at long, score double").repartition(5)
+    got = {r["at"]: r.recent for r in translation.recent_average(df, "at", block=16).collect()}
+    assert len(got) == 100 and all(got[i] == (None if i < 10 else round(sum(v for _, v in values[i - 10 : i]) / 10, 6)) for i in range(100))
+
+
+def test_accepted_arrivals_of_a_hot_term(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, "Hot" if i % 2 else "hot", "f", [], [], None, t) for i in range(50)] + [(60, "cold", "f", [], [], None, t)]
+    a = spark.createDataFrame(rows, "seq long, term string, source_file string, contexts array<string>, pos_tags array<string>, metadata string, seen_at timestamp")
+    assert sorted(r.seq for r in store.accepted(store.empty(spark), a).where("accepted").collect()) == [0, 1, 60]
+    assert store.accepted(store.empty(spark), a).count() == 51
+
+
+def test_translation_insight_of_samples(spark):
+    def of(*samples, n=60, score=0.9):
+        x = scoring.translation_insight(F.lit(n), F.lit(50), F.lit(5), F.lit(5), F.lit(score), F.array(*(F.lit(s) for s in samples)).cast("array<string>"))
+        return spark.range(1).select(x.alias("x")).first().x
+
+    assert "highly consistent" in of("a", "a").notes and "consistent" in of(*"aaaabaaa").notes and not {"consistent", "highly consistent"} & set(of("a", "b", "c").notes)
+    assert of("a").contribution == round(0.9 * 0.2 + round(55 / 60 * 0.4 + 0.36 + 0.2, 3) * 0.1 + 0.05, 6) and of(n=0, score=0.0).contribution == 0
 
 
 def test_gram_join_equals_nested_loop(spark):

@@ -20,6 +20,21 @@ def test_nine_steps_and_resume(spark, tmp_path):
     assert again.count() == out.count()
 
 
+def test_a_term_seen_once_in_each_of_two_runs_goes_on(spark, tmp_path):
+    combined = spark.createDataFrame([("rare thing", 1, "a rare thing", 1), ("mesh", 2, "a mesh", 2)], "term string, frequency int, original_text string, source_row long")
+    g = spark.createDataFrame([("DNT", "newton", "newton", 1)], "pair string, source string, target string, load_order long")
+    words, languages = spark.createDataFrame([("click",)], "word string"), spark.createDataFrame([("deu_Latn",)], "language string")
+    found, known = [], None
+    for run in ("first", "second", "third"):
+        out = f"{tmp_path}/{run}"
+        pipeline.run(spark, pipeline.Inputs(combined, g, words, languages, store=known), out)
+        found.append({r.term for r in spark.read.parquet(f"{out}/7_decisions").collect()})
+        known = spark.read.parquet(f"{out}/41_store")
+    assert found == [{"mesh"}, {"mesh", "rare thing"}, {"mesh", "rare thing"}]
+    r = spark.read.parquet(f"{tmp_path}/second/7_decisions").where("term = 'rare thing'").first()
+    assert r.reasons[0].startswith(("Translatable", "Untranslatable", "New term")) and "'rare thing' (multi-word)" in r.reason_text
+
+
 def test_curation_of_documents(spark):
     docs = spark.createDataFrame([(1, "bolt Bolt the mesh"), (2, "bolt mesh, 42 !!"), (3, None)], "doc_id long, text string")
     assert {r.term: r.frequency for r in curation.curate(docs).collect()} == {"bolt": 2, "mesh": 2}

@@ -17,21 +17,23 @@ def tables(spark, monkeypatch):
 
 def test_terms_behind_the_prefix(spark, tables):
     run = lambda name: queries.QUERIES[name](spark, "").collect()
-    assert all(r.term.endswith("lastterm bolt") for r in run("clean_term_whole"))
-    assert {r.source_row for r in run("parse_term_field_split_whole") if "lastterm" in r.term} == {1, 2, 3}
-    assert {(r.term, r.origin) for r in run("merge_new_whole")} == {(2, "old"), (1, "new"), (3, "new")}
+    assert all(r.term.endswith("lastterm bolt") for r in run("clean_term"))
+    assert {r.source_row for r in run("parse_term_field_split") if "lastterm" in r.term} == {1, 2, 3}
+    assert {(r.term, r.origin) for r in run("merge_new")} == {(2, "old"), (1, "new"), (3, "new")}
 
 
 def test_replacements_behind_the_prefix(spark, tables, monkeypatch):
     g = spark.createDataFrame([("ENG-DEU", "bolt", "Bolzen", 1), ("DNT", "that", "that", 2)], "pair string, source string, target string, load_order long")
     monkeypatch.setattr(queries, "_glossary", lambda s, d: g)
-    assert all(r.replaced.endswith("lastterm Bolzen") for r in queries.QUERIES["replace_terms_whole"](spark, "").collect())
+    assert all(r.replaced.endswith("lastterm Bolzen") for r in queries.QUERIES["replace_terms"](spark, "").collect())
 
 
 def test_answers_and_contexts_cover_whole_tables(spark):
     sf = "/root/testdata/sf0.001"
-    n = {r.term: r.n_texts for r in queries.QUERIES["cleaned_context_whole"](spark, sf).collect()}
+    n = {r.term: r.n_texts for r in queries.QUERIES["cleaned_context"](spark, sf).collect()}
     names = {r.p_name for r in X.table(spark, sf, "part").select("p_name").distinct().collect()}
     assert all(n[x] > 0 for x in names) and any(not n[x] for x in n.keys() - names)
-    assert queries.QUERIES["answer_classes_whole"](spark, sf).count() == X.table(spark, sf, "conversations").count()
-    assert "left(" not in queries.ANSWERS_WHOLE
+    few = queries.terms.with_contexts(queries._terms(spark, sf), X.fixture(spark, sf, queries.CLEANED), keep=3).collect()
+    assert all(len(r.contexts) == min(3, r.n_texts) for r in few) and max(r.n_texts for r in few) > 3
+    assert queries.QUERIES["answer_classes"](spark, sf).count() == X.table(spark, sf, "conversations").count()
+    assert "left(" not in queries.ANSWERS + queries.AGG_INPUT + queries.TERM_FIELD + queries._REPLACED
