@@ -7,8 +7,8 @@ latest earlier message that has the text is linked. A turn replies to the messag
 outermost quotes cover most of, or else to the turn before it. Messages come back without
 quotes, in reply order: by their distance from the conversation's start, then by turn.
 
-Orders within a conversation are found in two levels, blocks of turns and summaries of the
-blocks, so a conversation with a third of all messages is never sorted in one task.
+Orders within a conversation are found in levels, blocks of turns or ranges of depths and
+summaries of them, so a conversation with a third of all messages is never sorted in one task.
 """
 
 from __future__ import annotations
@@ -109,10 +109,15 @@ def reply_order(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "tu
         settled, moving = settled.union(moved.where("to is null")), moved.where("to is not null")
     jumps = settled
     full = placed.join(parents, ["conv", "turn"]).join(jumps.select("conv", "turn", "depth"), ["conv", "turn"])
-    block = full.withColumn("block", F.floor(F.col("turn") / TURNS).cast("long"))
-    counts = block.groupBy("conv", "depth", "block").agg(F.count("*").alias("n"))
-    offset = F.coalesce(F.sum("n").over(Window.partitionBy("conv").orderBy("depth", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select("conv", "depth", "block", offset.alias("offset"))
+    # the place in three steps: ranges of depths, depths and blocks of turns within a range, and
+    # rows within a block, so that neither a long chain nor a wide one is ordered in one task
+    block = full.withColumns({"range": F.floor(F.col("depth") / TURNS).cast("long"), "block": F.floor(F.col("turn") / TURNS).cast("long")})
+    counts = block.groupBy("conv", "range", "depth", "block").agg(F.count("*").alias("n"))
+    ranges = counts.groupBy("conv", "range").agg(F.sum("n").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("conv", "range").orderBy("depth", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("inside", inside).join(ranges.select("conv", "range", earlier.alias("earlier")), ["conv", "range"])
+    counts = counts.select("conv", "depth", "block", (F.col("earlier") + F.col("inside")).alias("offset"))
     rank = F.row_number().over(Window.partitionBy("conv", "depth", "block").orderBy("turn", "role", "body"))
     ordered = block.withColumn("rank", rank).join(counts, ["conv", "depth", "block"]).withColumn("position", (F.col("offset") + F.col("rank")).cast("long"))
     alone = bodies(rows.where("conv is null or turn is null")).select("conv", "turn", "role", F.lit(None).cast("long").alias("parent"), F.lit("root").alias("kind"), F.lit(0).cast("long").alias("depth"), F.lit(1).cast("long").alias("position"), "quoted_lines", "max_level", "body")
@@ -121,16 +126,20 @@ def reply_order(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "tu
 
 
 def formatted(ordered: DataFrame, *, conv_col: str = "conv_id", part: int = 256, template: str = "<|%s|>\n%s\n") -> DataFrame:
-    """(conv_id, part, text): conversations as chat text, cut into parts of a bounded number of messages."""
+    """(conv_id, part, text): conversations as chat text, cut into parts of a bounded number of messages.
+
+    ordered: what reply_order() gives. A null role is an empty one; messages without a
+    conversation make a part of their own, in the order of their body.
+    """
     rows = ordered.withColumn("part", F.floor((F.col("position") - 1) / part).cast("long"))
     line = F.format_string(template, F.coalesce("role", F.lit("")), F.col("body"))
-    sorted_lines = F.transform(F.array_sort(F.collect_list(F.struct("position", line.alias("line")))), lambda s: s["line"])
+    sorted_lines = F.transform(F.array_sort(F.collect_list(F.struct("position", "body", line.alias("line")))), lambda s: s["line"])
     return rows.groupBy(conv_col, "part").agg(F.array_join(sorted_lines, "").alias("text"))
 
 
-ORACLE = r"""
+_ORACLE = r"""
 WITH RECURSIVE m AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM TURNS
 ), ln AS (
   SELECT conv_id, turn, role, text, l.i AS pos, string_split(text, chr(10))[l.i] AS raw
   FROM (SELECT DISTINCT * FROM m) m, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i) l
@@ -145,15 +154,15 @@ WITH RECURSIVE m AS (
 ), runs AS (
   SELECT *, pos - row_number() OVER (PARTITION BY conv_id, turn, role, text, level ORDER BY pos) AS run FROM lv WHERE level > 0
 ), qt AS (
-  SELECT conv_id, turn, level, string_agg(line, ' ' ORDER BY pos) AS line FROM runs GROUP BY conv_id, turn, role, text, level, run
-  UNION ALL SELECT conv_id, turn, level, line FROM runs
+  SELECT conv_id, turn, level, line FROM runs UNION ALL SELECT conv_id, turn, level, unnest(list_concat([line], regexp_split_to_array(line, '\n[ \t]*\n')))
+  FROM (SELECT conv_id, turn, level, string_agg(line, chr(10) ORDER BY pos) AS line FROM runs GROUP BY conv_id, turn, role, text, level, run) w
 ), q AS (
   SELECT DISTINCT conv_id, turn, level, t AS hash, length(t) AS weight
-  FROM (SELECT *, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS t FROM qt) WHERE length(t) >= 12
+  FROM (SELECT *, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS t FROM qt) WHERE t <> ''
 ), o AS (
   SELECT DISTINCT conv_id, turn, t AS hash FROM (
     SELECT conv_id, turn, trim(regexp_replace(lower(p), '[^\p{L}\p{N}]+', ' ', 'g')) AS t FROM (
-      SELECT conv_id, turn, unnest(list_concat([body], list_concat(regexp_split_to_array(body, '\n[ \t]*\n'), string_split(body, chr(10))))) AS p FROM b)) WHERE length(t) >= 12
+      SELECT conv_id, turn, unnest(list_concat([body], list_concat(regexp_split_to_array(body, '\n[ \t]*\n'), string_split(body, chr(10))))) AS p FROM b)) WHERE t <> ''
 ), f AS (
   SELECT q.conv_id, q.turn, q.level, q.hash, q.weight, max(o.turn) AS linked FROM q JOIN o ON q.conv_id = o.conv_id AND q.hash = o.hash AND o.turn < q.turn GROUP BY ALL
 ), best AS (
@@ -175,3 +184,12 @@ SELECT m.conv_id, m.turn, m.role, p.parent_turn, p.parent_kind, d.depth,
 FROM m JOIN b ON b.conv_id = m.conv_id AND b.turn = m.turn AND b.role IS NOT DISTINCT FROM m.role AND b.text = m.text
 JOIN p ON p.conv_id = m.conv_id AND p.turn = m.turn JOIN d ON d.conv_id = m.conv_id AND d.turn = m.turn
 """
+
+ORACLE = _ORACLE.replace("TURNS", "conversations")
+#: Conversations in which turns quote earlier ones: every second turn all of the turn before it, every fifth a line of the one before that, deeper.
+QUOTING = """
+SELECT conv_id, turn, role, CASE WHEN turn % 2 = 1 AND near IS NOT NULL THEN concat('> ', replace(near, chr(10), concat(chr(10), '> ')), chr(10), chr(10), coalesce(text, ''))
+  WHEN turn % 5 = 0 AND far IS NOT NULL THEN concat('Before:', chr(10), '>> ', split_part(far, chr(10), 1), chr(10), '> ok', chr(10), coalesce(text, '')) ELSE text END AS text
+FROM (SELECT conv_id, turn, role, text, lag(text, 1) OVER (PARTITION BY conv_id ORDER BY turn) AS near, lag(text, 2) OVER (PARTITION BY conv_id ORDER BY turn) AS far FROM {conversations}) AS t
+"""
+ORACLE_QUOTING = _ORACLE.replace("TURNS", "(" + QUOTING.replace("{conversations}", "conversations") + ") AS quoting")

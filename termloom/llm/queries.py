@@ -30,6 +30,12 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.reply_order(table(spark, sf_dir, "conversations"))
 
 
+def quoting_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator on the same conversations, in which turns quote earlier ones."""
+    rows = spark.sql(chat.QUOTING.replace("chr(10)", "char(10)"), conversations=table(spark, sf_dir, "conversations"))
+    return chat.reply_order(rows)
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -64,7 +70,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_pivot_search, op2_section_token_counts, op3_quotation_linking, op4_bpe_round_trip, op5_zip_warc,
-        op6_toxicity, op7_near_duplicates, op8_source_mix, op9_embedding_near_duplicates, op10_quality,
+        op6_toxicity, op7_near_duplicates, op8_source_mix, op9_embedding_near_duplicates, op10_quality, quoting_conversations,
     )
 }
 
@@ -78,6 +84,7 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 20
 """,
     "op3_quotation_linking": chat.ORACLE,
+    "quoting_conversations": chat.ORACLE_QUOTING,
     "op5_zip_warc": """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
 t AS (SELECT *, CASE WHEN strlen(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS top FROM p)

@@ -74,3 +74,23 @@ def test_formatted(spark):
 def test_main_path_is_native(spark):
     plan = chat.reply_order(spark.createDataFrame(ROWS, SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_second_query_quotes_earlier_turns(spark):
+    from termloom.llm import queries as q
+
+    kinds = {r.parent_kind: r["count"] for r in q.quoting_conversations(spark, "/root/testdata/sf0.001").groupBy("parent_kind").count().collect()}
+    assert kinds["quote"] > 20
+
+
+def test_places_in_long_and_wide_conversations(spark, monkeypatch):
+    """Ranges of depths and blocks of turns of very few: a chain, and a star whose turns all quote the first."""
+    monkeypatch.setattr(chat, "TURNS", 4)
+    rows = [(1, i, "u", f"message {i}") for i in range(50)] + [(2, 0, "u", "the first message")] + [(2, i, "u", f"> the first message\nanswer {i}") for i in range(1, 40)]
+    rows += [(2, 7, "a", "an other row of turn seven"), (2, 7, "a", "an other row of turn seven")]
+    got = chat.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for conv in (1, 2):
+        own = sorted((r for r in got if r.conv_id == conv), key=lambda r: r.position)
+        assert [r.position for r in own] == list(range(1, len(own) + 1))
+        assert [(r.depth, r.turn, r.role, r.body) for r in own] == sorted((r.depth, r.turn, r.role, r.body) for r in own)
+    assert max(r.depth for r in got if r.conv_id == 1) == 49 and max(r.depth for r in got if r.conv_id == 2) == 1

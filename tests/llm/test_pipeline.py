@@ -85,4 +85,4 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES if n.startswith("op")) == list(range(1, 11))
