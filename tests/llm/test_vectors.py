@@ -23,7 +23,10 @@ def frame(spark, x, labels, extra=()):
 
 
 @pytest.mark.parametrize("block", [8192, 37])
-def test_search_equals_brute_force(spark, block):
+def test_search_equals_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(ps, "RANGES", 3)
+    monkeypatch.setattr(ps, "QUERIES", 6)
+    monkeypatch.setattr(ps, "RUN", 2)
     x = vectors()
     extra = [(1000, None, 1), (1020, [1.0, None] + [0.0] * 14, 1), (1040, [NAN] * 16, 1), (1060, [INF] * 16, 1), (1080, [0.5, 0.25], 1), (1081, [0.5, 0.5], 1), (None, [0.1] * 16, 1)]
     got = {}
@@ -50,6 +53,22 @@ def test_search_stops_early_and_is_exact_for_large_numbers():
     assert ps.products(np.array([2.0**40]), np.array([[2.0**40], [1.0], [-(2.0**40)]])).tolist() == [2**63 - 1, 2**40, -(2**63)]
 
 
+def test_ranges_bound_what_blocks_hold():
+    """Two far groups: the ranges of one's blocks rule them out for queries of the other."""
+    x = np.concatenate([vectors(400, 16, 5) + 20, vectors(400, 16, 6) - 20]).astype(np.float32)
+    q = np.floor(64 * x[::20].astype(np.float64))
+    whole = np.floor(64 * x.astype(np.float64))
+    pivots = ps.choose_pivots(whole[::5])
+    d = ps.distances(whole, pivots)
+    top = np.array([(whole[a : a + 100] ** 2).sum(1).max() for a in range(0, 800, 100)])
+    lo, hi = (np.array([f(d[a : a + 100], axis=0) for a in range(0, 800, 100)]) for f in (np.min, np.max))
+    limit = ps.limits((q * q).sum(1), ps.distances(q, pivots), top, lo, hi)
+    best = np.array([(whole[a : a + 100] @ q.T).max(0) for a in range(0, 800, 100)]).T
+    assert (limit >= best).all()
+    floor = np.sort(whole @ q.T, axis=0)[-21]
+    assert 0 < (limit >= floor[:, None]).sum() < 0.6 * limit.size
+
+
 def test_search_of_nothing(spark):
     df = frame(spark, vectors(3), np.ones(3))
     assert ps.search(df.limit(0)).count() == 0
