@@ -3,8 +3,9 @@
 Unit vectors are rotated to their principal axes, so the leading dimensions carry most of a
 product. A pair of tiles multiplies the leading dimensions first; the rest of a product is at
 most the product of the two suffix norms, and a pair whose sum can't reach the threshold is
-dropped before its other dimensions are read. Tiles are slabs of the first axis: tiles whose
-slabs are further apart than any linked pair can be are never paired.
+dropped before its other dimensions are read. Tiles are boxes on the leading axes, cut at
+medians of a sample; a small table holds each tile's ranges, and tiles that are further apart
+than any linked pair can be are never sent to each other.
 
 Equal vectors of a label are one class with a count, so a group of copies of any size costs one
 row; links are counted with the classes' sizes.
@@ -14,16 +15,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._spark import cut
+from ._spark import cut, integer_id
 from ._vectors import finite, matrix, unpack
 
 THRESHOLD = 0.93
-#: Vectors of a tile, and of the sample that the axes and slabs are taken from.
-TILE, SAMPLE, SLABS = 2048, 4096, 64
+#: Vectors of a tile, of the sample that axes and cuts are taken from; the most cuts in a row, and the axes that are cut.
+TILE, SAMPLE, DEPTH, AXES = 2048, 4096, 9, 8
 STEPS = (8, 24)
 _NEAR = 1e-9
 
@@ -81,23 +83,66 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         low = new
 
 
+def cuts(turned: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """(axis, value) of the nodes of a binary tree, children of k at 2 k and 2 k + 1: the widest leading axis at its median."""
+    axis, value = np.zeros(1 << depth, np.int64), np.zeros(1 << depth)
+    inside = {1: turned[:, :AXES]}
+    for k in range(1, 1 << depth):
+        rows = inside.pop(k)
+        if len(rows):
+            axis[k] = int(np.argmax(np.var(rows, axis=0)))
+            value[k] = np.median(rows[:, axis[k]])
+        right = rows[:, axis[k]] > value[k]
+        inside[2 * k], inside[2 * k + 1] = rows[~right], rows[right]
+    return axis, value
+
+
+def leaves(turned: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: int = DEPTH) -> np.ndarray:
+    """The leaf of each vector, as the path of its cuts."""
+    axis, value = tree
+    node = np.ones(len(turned), np.int64)
+    for _ in range(depth):
+        node = 2 * node + (turned[np.arange(len(turned)), axis[node]] > value[node])
+    return node - (1 << depth)
+
+
+def _turned(raw: np.ndarray, basis: dict) -> np.ndarray:
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    return unit @ basis[raw.shape[1]] if raw.shape[1] in basis else unit
+
+
+def _placed(batches, basis: dict, trees: dict):
+    """Classes with the length of their vector and its leaf."""
+    for batch in batches:
+        vectors = batch.column(3)
+        size = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+        leaf = np.zeros(len(size), np.int64)
+        for d, tree in trees.items():
+            at = np.flatnonzero(size == d)
+            if len(at):
+                leaf[at] = leaves(_turned(matrix(vectors.take(pa.array(at))), basis), tree)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size, pa.int32()), pa.array(leaf, pa.int32())], names=["rep", "n", "label", "vec", "dim", "leaf"])
+
+
 def _pack(table: pa.Table, basis: dict) -> pa.Table:
+    """One row for a tile: ids, class sizes and the vectors as they are stored, and its ranges on the leading axes."""
     raw = matrix(table["vec"])
-    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-    turned = unit @ basis[raw.shape[1]] if raw.shape[1] in basis else unit
-    return pa.table(
-        {"tile": table["tile"].slice(0, 1), "ids": pa.array([table["rep"].to_numpy().tobytes()], pa.binary()), "sizes": pa.array([table["n"].to_numpy().tobytes()], pa.binary()), "raw": pa.array([raw.tobytes()], pa.binary()), "turned": pa.array([turned.tobytes()], pa.binary()), "dim": pa.array([raw.shape[1]], pa.int32())}
-    )
+    turned = _turned(raw, basis)[:, :AXES]
+    kind = "f4" if pa.types.is_float32(table["vec"].type.value_type) else "f8"
+    one = lambda a: pa.array([a.tobytes()], pa.binary())
+    first = {c: table[c].slice(0, 1) for c in ("tile", "label", "dim")}
+    return pa.table({**first, "ids": one(table["rep"].to_numpy()), "sizes": one(table["n"].to_numpy()), "raw": one(raw.astype(kind)), "kind": pa.array([kind]), "lo": pa.array([turned.min(0).tolist()]), "hi": pa.array([turned.max(0).tolist()])})
 
 
-def _compare(batches, threshold: float):
+def _compare(batches, basis: dict, threshold: float):
     """Rows (a, b, links): a number of vectors linked to class a (b null), or an edge a - b."""
     for batch in batches:
         for r in batch.to_pylist():
             d = r["dim"]
             ids, sizes = [unpack(r[f"{s}ids"], np.int64) for s in "lr"], [unpack(r[f"{s}sizes"], np.int64) for s in "lr"]
-            raw, turned = [unpack(r[f"{s}raw"], width=d) for s in "lr"], [unpack(r[f"{s}turned"], width=d) for s in "lr"]
             same = r["ltile"] == r["rtile"]
+            raw = [unpack(r[f"{s}raw"], r[f"{s}kind"], d).astype(np.float64) for s in "lr"]
+            turned = [_turned(x, basis) for x in raw]
             i, j, got = linked_pairs(turned[0], turned[1], threshold, same)
             close = np.flatnonzero(np.abs(got - threshold) <= _NEAR)
             ok = np.ones(len(got), bool)
@@ -124,58 +169,46 @@ def _compare(batches, threshold: float):
 def near_duplicate_vectors(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """(id_col, n_links, component_id, kept) for each row of df.
 
-    Vectors of one label (and one length) are linked when their cosine in double precision is at
+    Ids must be integers. Vectors of one label (and one length) are linked when their cosine in double precision is at
     least threshold. n_links: other rows linked directly; component_id: the smallest id reachable
     by links; kept: the id is its component's smallest. Vectors that are null, zero, or hold null
     or non-finite components, and vectors without a label or id, link with nothing. Rows that
     repeat an id are compared row by row. Other columns play no part; an empty table gives an
     empty one. The axes come from at most SAMPLE vectors; they steer the order, not the result.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"))
+    rows = df.select(integer_id(df, id_col).alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"))
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double")))
     rows = rows.withColumn("ok", F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & finite("vec") & (F.size("vec") > 0) & (norm > 0), F.lit(False)))
     usable = rows.where("ok").select("id", "label", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2"))
     by = ["label", "h1", "h2"]
     classes = cut(usable.groupBy(*by, "vec").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     sample = classes.select("vec").orderBy(F.xxhash64("rep")).limit(SAMPLE).collect()
-    basis, first = {}, {}
+    basis, trees = {}, {}
     for d in {len(r.vec) for r in sample}:
         m = np.array([r.vec for r in sample if len(r.vec) == d], np.float64)
         m /= np.linalg.norm(m, axis=1, keepdims=True)
         basis[d] = axes(m)
-        first[d] = m @ basis[d][:, 0]
-    # slabs of the first axis, by the sample's quantiles; vectors of a length without axes have one slab
-    tiles = classes
-    axis, edges = F.lit(0.0), {}
-    for d, values in first.items():
-        edges[d] = np.unique(np.quantile(values, np.linspace(0, 1, SLABS + 1)[1:-1]))
-        weights = F.array(*(F.lit(float(x)) for x in basis[d][:, 0]))
-        dot = F.aggregate(F.zip_with("vec", weights, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda s, x: s + x)
-        size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-        axis = F.when(F.size("vec") == d, dot / size).otherwise(axis)
-    tiles = tiles.withColumn("dim", F.size("vec")).withColumn("axis", axis)
-    slab = F.lit(0)
-    for d, e in edges.items():
-        slab = F.when(F.col("dim") == d, F.size(F.filter(F.array(*(F.lit(float(x)) for x in e)) if len(e) else F.array().cast("array<double>"), lambda x: x < F.col("axis")))).otherwise(slab)
-    # as many slabs as a label has tiles' worth of vectors
-    wide = tiles.groupBy("label", "dim").agg(F.least(F.lit(SLABS), F.ceil(F.count("*") / tile)).cast("int").alias("slabs"))
-    tiles = tiles.withColumn("fine", slab).join(wide, ["label", "dim"]).withColumn("slab", F.floor(F.col("fine") * F.col("slabs") / SLABS).cast("int"))
-    sums = tiles.groupBy("label", "dim", "slab").agg(F.count("*").alias("m"), F.min("axis").alias("lo"), F.max("axis").alias("hi"))
-    # a slab larger than a tile is split by a hash
-    parts = sums.withColumn("parts", F.ceil(F.col("m") / tile).cast("int"))
-    placed = tiles.join(parts.select("label", "dim", "slab", "parts"), ["label", "dim", "slab"])
-    part = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).cast("int")
-    grid = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    name = F.concat_ws("/", F.col("label").cast("string"), "dim", "slab", "part")
-    packed = placed.withColumn("part", part).withColumn("tile", name).select("tile", "rep", "n", "vec").groupBy("tile").applyInArrow(lambda t: _pack(t, basis), "tile string, ids binary, sizes binary, raw binary, turned binary, dim int")
+        trees[d] = cuts(m @ basis[d])
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("label", "vec")}
+    tiles = cut(classes.select("rep", "n", "label", "vec").mapInArrow(lambda it: _placed(it, basis, trees), f"rep long, n long, label {kinds['label']}, vec {kinds['vec']}, dim int, leaf int"))
+    # as many cuts as a label has tiles' worth of vectors; a leaf larger than a tile is split by a hash
+    deep = F.least(F.lit(DEPTH), F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / tile)))).cast("int")
+    wide = tiles.groupBy("label", "dim").agg(deep.alias("deep"))
+    tiles = tiles.join(wide, ["label", "dim"]).withColumn("box", F.floor(F.col("leaf") / F.pow(F.lit(2), F.lit(DEPTH) - F.col("deep"))).cast("int"))
+    parts = tiles.groupBy("label", "dim", "box").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    name = F.concat_ws("/", F.col("label").cast("string"), "dim", "box", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")))
+    placed = tiles.join(parts, ["label", "dim", "box"]).withColumn("tile", name).select("tile", "label", "dim", "rep", "n", "vec")
+    packed = placed.groupBy("tile").applyInArrow(lambda t: _pack(t, basis), f"tile string, label {kinds['label']}, dim int, ids binary, sizes binary, raw binary, kind string, lo array<double>, hi array<double>")
     packed = cut(packed)
-    grid = grid.select("label", "dim", "slab", "part", name.alias("tile"), "lo", "hi")
-    left, right = (grid.select("label", "dim", *(F.col(c).alias(f"{s}{c}") for c in ("slab", "part", "tile", "lo", "hi"))) for s in "lr")
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
-    pairs = left.join(right, ["label", "dim"]).where(((F.col("lslab") < F.col("rslab")) | ((F.col("lslab") == F.col("rslab")) & (F.col("lpart") <= F.col("rpart")))) & (F.col("rlo") - F.col("lhi") <= reach) & (F.col("llo") - F.col("rhi") <= reach)).select("ltile", "rtile")
-    lp, rp = (packed.select("dim", *(F.col(c).alias(f"{s}{c}") for c in ("tile", "ids", "sizes", "raw", "turned"))) for s in "lr")
+    left, right = (packed.select("label", "dim", *(F.col(c).alias(f"{s}{c}") for c in ("tile", "lo", "hi"))) for s in "lr")
+    # the distance of two boxes, against the largest one of a linked pair
+    apart = F.zip_with(F.zip_with("llo", "rhi", lambda x, y: x - y), F.zip_with("rlo", "lhi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    apart = F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+    reach = float(max(0.0, 2 - 2 * threshold)) + 1e-6
+    pairs = left.join(right, ["label", "dim"]).where((F.col("ltile") <= F.col("rtile")) & (apart <= reach)).select("ltile", "rtile")
+    lp, rp = (packed.select("dim", *(F.col(c).alias(f"{s}{c}") for c in ("tile", "ids", "sizes", "raw", "kind"))) for s in "lr")
     both = pairs.join(lp, "ltile").join(rp.drop("dim"), "rtile")
-    found = cut(both.mapInArrow(lambda it: _compare(it, threshold), "a long, b long, links long"))
+    found = cut(both.mapInArrow(lambda it: _compare(it, basis, threshold), "a long, b long, links long"))
     links = found.where("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     comp = components(found.where("b is not null").select("a", "b"))
     class_of = classes.select(*by, "rep", "n").join(links, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
