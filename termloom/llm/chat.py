@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._spark import cut
+from ._spark import cut, integer_id
 
 MARKS = r"^(?:[ \t]{0,3}>)+[ \t]?"
 PARAGRAPHS = r"\n[ \t]*\n"
@@ -82,11 +82,11 @@ def reply_order(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "tu
     parent_kind: quote, previous or root. depth: replies between the message and a root;
     position: from 1, by depth, then turn, role and body. Rows with the same conversation and turn
     are one node: their quotes count together and they share parent and depth. Rows without a
-    conversation or turn stand alone: root, depth 0, position 1. A null text is empty. Quotes
+    conversation or turn stand alone: root, depth 0, position 1; both must be integers. A null text is empty. Quotes
     of any length link; those that match nothing earlier, or have no letter or digit, are removed
     but link nothing.
     """
-    rows = df.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = df.select(integer_id(df, conv_col).alias("conv"), integer_id(df, turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed = bodies(rows.where("conv is not null and turn is not null"))
     nodes = placed.select("conv", "turn").distinct()
     quoting = rows.where(F.col("conv").isNotNull() & F.col("turn").isNotNull() & F.col("text").rlike("(?m)" + MARKS)).withColumn("msg", F.md5(F.concat_ws("\x1f", F.coalesce("role", F.lit("")), "text"))).distinct()

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import cut, fresh_dir
+from ._spark import cut, fresh_dir, integer_id
 
 WARC, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 LEAST_REVISIT = 1000
@@ -262,9 +262,10 @@ def write_archives(df: DataFrame, base: str, *, id_col: str = "page_id", url_col
 
     Of rows with equal payloads of at least least bytes, that with the largest id is a response
     (rows that repeat that id too), the others revisit it. A null payload is empty. Where all ids
-    of equal payloads are null, all are responses. The rows are written when this is called.
+    of equal payloads are null, all are responses. Ids must be integers. The
+    rows are written when this is called.
     """
-    pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
+    pages = df.select(integer_id(df, id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     pages = pages.withColumns({"digest": F.sha1(F.col("payload").cast("binary")), "size": F.octet_length("payload").cast("long")})
     firsts = pages.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).where("n > 1 and top is not null").select("digest", "size", "top")
     rows = pages.join(firsts, ["digest", "size"], "left").select("page_id", "url", "payload", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("first"))
