@@ -163,17 +163,17 @@ LANGUAGE_CODES = {
     "KOR": W("ko kor korean"), "NLD": W("nl nld dutch"), "PLY": W("pl ply polish"), "DAN": W("da dan danish"), "TUR": W("tr tur turkish"),
 }
 STANDARD_CODES = {"ENG": "EN", "CSY": "CS", "FRE": "FR", "DEU": "DE", "ESP": "ES", "ITA": "IT", "POR": "PT", "RUS": "RU", "JPN": "JA", "CHS": "ZH", "CHT": "ZH-TW", "KOR": "KO"}
-TRANSLATOR_CODES = dict(
-    x.split(":")
-    for x in W(
-        "de:deu_Latn es:spa_Latn fr:fra_Latn it:ita_Latn ja:jpn_Jpan ko:kor_Hang zh:zho_Hans zh-tw:zho_Hant pt:por_Latn ru:rus_Cyrl ar:arb_Arab hi:hin_Deva "
-        "tr:tur_Latn pl:pol_Latn nl:nld_Latn sv:swe_Latn da:dan_Latn no:nor_Latn fi:fin_Latn cs:ces_Latn hu:hun_Latn ro:ron_Latn bg:bul_Cyrl hr:hrv_Latn "
-        "sk:slk_Latn sl:slv_Latn et:est_Latn lv:lav_Latn lt:lit_Latn uk:ukr_Cyrl be:bel_Cyrl mk:mkd_Cyrl sq:sqi_Latn sr:srp_Cyrl bs:bos_Latn mt:mlt_Latn "
-        "is:isl_Latn ga:gle_Latn cy:cym_Latn eu:eus_Latn ca:cat_Latn gl:glg_Latn he:heb_Hebr th:tha_Thai vi:vie_Latn id:ind_Latn ms:zsm_Latn tl:tgl_Latn "
-        "bn:ben_Beng ta:tam_Taml te:tel_Telu ml:mal_Mlym kn:kan_Knda gu:guj_Gujr pa:pan_Guru ur:urd_Arab fa:pes_Arab sw:swh_Latn am:amh_Ethi yo:yor_Latn "
-        "ig:ibo_Latn ha:hau_Latn zu:zul_Latn xh:xho_Latn af:afr_Latn en:eng_Latn"
-    )
-)
+TRANSLATOR_CODES = {
+    "de": "deu_Latn", "es": "spa_Latn", "fr": "fra_Latn", "it": "ita_Latn", "ja": "jpn_Jpan", "ko": "kor_Hang", "zh": "zho_Hans", "zh-tw": "zho_Hant",
+    "pt": "por_Latn", "ru": "rus_Cyrl", "ar": "arb_Arab", "hi": "hin_Deva", "tr": "tur_Latn", "pl": "pol_Latn", "nl": "nld_Latn", "sv": "swe_Latn",
+    "da": "dan_Latn", "no": "nor_Latn", "fi": "fin_Latn", "cs": "ces_Latn", "hu": "hun_Latn", "ro": "ron_Latn", "bg": "bul_Cyrl", "hr": "hrv_Latn",
+    "sk": "slk_Latn", "sl": "slv_Latn", "et": "est_Latn", "lv": "lav_Latn", "lt": "lit_Latn", "uk": "ukr_Cyrl", "be": "bel_Cyrl", "mk": "mkd_Cyrl",
+    "sq": "sqi_Latn", "sr": "srp_Cyrl", "bs": "bos_Latn", "mt": "mlt_Latn", "is": "isl_Latn", "ga": "gle_Latn", "cy": "cym_Latn", "eu": "eus_Latn",
+    "ca": "cat_Latn", "gl": "glg_Latn", "he": "heb_Hebr", "th": "tha_Thai", "vi": "vie_Latn", "id": "ind_Latn", "ms": "zsm_Latn", "tl": "tgl_Latn",
+    "bn": "ben_Beng", "ta": "tam_Taml", "te": "tel_Telu", "ml": "mal_Mlym", "kn": "kan_Knda", "gu": "guj_Gujr", "pa": "pan_Guru", "ur": "urd_Arab",
+    "fa": "pes_Arab", "sw": "swh_Latn", "am": "amh_Ethi", "yo": "yor_Latn", "ig": "ibo_Latn", "ha": "hau_Latn", "zu": "zul_Latn", "xh": "xho_Latn",
+    "af": "afr_Latn", "en": "eng_Latn",
+}
 MINIMAL_LANGUAGES = W(
     "eng_Latn spa_Latn fra_Latn deu_Latn rus_Cyrl zho_Hans jpn_Jpan kor_Hang arb_Arab hin_Deva mag_Deva prs_Arab bho_Deva eus_Latn ory_Orya ell_Grek heb_Hebr "
     "tha_Thai vie_Latn swh_Latn"

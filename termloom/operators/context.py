@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as T
 
+#: The sentences of this module, which exports must hold word for word.
 CONDITIONAL = "Technical term used in CAD/engineering software; conditionally approved for terminology database."
 APPROVED = "Technical term used in CAD/engineering software; approved for terminology database."
 

@@ -93,7 +93,16 @@ def test_streaming_store_equals_batch(spark, tmp_path):
     q = streaming.upsert_stream(stream, f"{tmp_path}/store", f"{tmp_path}/cp")
     q.awaitTermination(120)
     key = lambda df: sorted((r.term_id, r.occurrence_count, r.status, tuple(sorted(r.original_contexts))) for r in df.collect())
+    assert streaming.wait(q, poll=0.1) == "finished"
     assert key(streaming.latest(spark, f"{tmp_path}/store")) == key(store.upsert(store.empty(spark), rows))
+    # a part has at most the last two versions, and one term touches one part
+    parts = list((tmp_path / "store").glob("bucket=*"))
+    assert parts and all(len([v for v in p.iterdir() if v.is_dir()]) <= streaming.KEPT for p in parts)
+    before = {v for p in parts for v in p.iterdir()}
+    rows.where("seq = 0").withColumn("seq", F.lit(100).cast("long")).coalesce(1).write.mode("append").parquet(str(src))
+    streaming.upsert_stream(stream, f"{tmp_path}/store", f"{tmp_path}/cp").awaitTermination(120)
+    assert len({v for p in parts for v in p.iterdir()} - before) == 1
+    assert streaming.latest(spark, f"{tmp_path}/store").count() == 23
 
 
 def test_collector_keeps_each_term_once(spark, tmp_path):
@@ -101,7 +110,9 @@ def test_collector_keeps_each_term_once(spark, tmp_path):
     for i in range(2):
         spark.createDataFrame([("a", "completed", 1), ("a", "completed", 0), (f"b{i}", "failed", 2), (f"c{i}", "completed", 3)], "term string, status string, seq long").coalesce(1).write.mode("append").parquet(str(src))
     stream = spark.readStream.schema("term string, status string, seq long").option("maxFilesPerTrigger", 1).parquet(str(src))
-    streaming.collect_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
+    streaming.collect_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp", dead_letters=f"{tmp_path}/dead").awaitTermination(120)
+    done = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.term for r in streaming.unprocessed(spark, f"{tmp_path}/dead", done).collect()) == ["b0", "b1"]
     assert sorted(r.term for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "c0", "c1"]
 
 
@@ -144,3 +155,12 @@ def test_pending_terms(spark, tmp_path):
     assert [r.term for r in readers.pending(spark, done, str(tmp_path / "none.json"), str(tmp_path / "t.json")).collect()] == ["bolt"]
     with pytest.raises(FileNotFoundError):
         readers.pending(spark, done, str(tmp_path / "none.json"))
+
+
+def test_wait_sees_a_stalled_stream(spark):
+    q = spark.readStream.format("rate").load().writeStream.format("noop").trigger(processingTime="1 hour").start()
+    try:
+        assert streaming.wait(q, stalled=3, poll=0.2) == "stalled"
+        assert streaming.wait(q, limit=0.5, poll=0.2) == "timeout"
+    finally:
+        q.stop()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.functions.lexicon import Lexicon
-from termloom.operators import batches, context, decide, dictionary, export, generic, glossary, scoring, store, terms, translation
+from termloom.operators import agents, batches, context, decide, dictionary, export, generic, glossary, scoring, store, terms, translation
 
 
 def col(spark, values, name="term", kind="string"):
@@ -280,3 +280,15 @@ def test_fallback_decisions(spark):
 def test_error_classes(spark):
     df = col(spark, ["Access token expired", "HTTP 503", "blocked by content_filter", "mismatch: closing tag", "fine"], "m")
     assert [r.c for r in df.select(glossary.error_class(F.col("m")).alias("c")).collect()] == ["token_expired", "server", "content_filter", "xml", None]
+
+
+def test_agent_calls(spark):
+    words = col(spark, ["run", "color"], "word")
+    own = spark.createDataFrame([("ENG-DEU", "bolt", "Bolzen", 1), ("ENG-DEU", "bolt head", "Kopf", 2), ("DNT", "newton", "newton", 4)], "pair string, source string, target string, load_order long")
+    a = agents.Terminology(own, words)
+    assert {(r.term, r.kind, r.translation) for r in a.text_terms(["a bolt of newton"], "english", "german").collect()} == {("bolt", "glossary", "Bolzen"), ("newton", "dnt", "newton")}
+    assert [r.replaced for r in a.translate(["bolt head, newton bolt"], "english", "german").collect()] == ["Kopf, newton Bolzen"]
+    assert a.text_terms(["a bolt"], "en", "xx").count() == 0 and [r.replaced for r in a.translate(["a bolt"], "en", "xx").collect()] == ["a bolt"]
+    assert {r.pair: r.n_terms for r in a.overview().collect()} == {"ENG-DEU": 2, "DNT": 1}
+    assert a.related(["bolt"]).first().duplicates == 1
+    assert a.lookup("runs").first().method == "nltk_variation" and {r.term: r.in_dictionary for r in a.lookup(["color", "qqzz"]).collect()} == {"color": True, "qqzz": False}
