@@ -38,18 +38,23 @@ def variations(word: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(cut("s", 3), cut("ed", 4), cut("ing", 5), cut("ly", 4))))
 
 
-def classify_terms(df: DataFrame, words: DataFrame, lexicon: L.Lexicon = L.DEFAULT) -> DataFrame:
+def classify_terms(df: DataFrame, words: DataFrame, lexicon: L.Lexicon = L.DEFAULT, lemmas: DataFrame | None = None) -> DataFrame:
     """df with in_dictionary, method, confidence and found_as; words: a table with the column word.
 
-    Only undecided terms have a key for the joins, so decided ones never reach the word list.
+    lemmas: a table (word, lemma); its lemmas are tried before the forms without a plain suffix,
+    the first in their order. Only undecided terms have a key for the joins, so decided ones never reach the word list.
     """
     c = df.withColumn("c", classify(F.col("term"), lexicon))
     key = F.when(F.col("c.in_dictionary").isNull(), F.lower(T.strip(F.col("term"))))
     vocabulary = words.select(F.lower("word").alias("word")).distinct()
     asked = c.select(key.alias("key")).where("key is not null").distinct()
     direct = asked.join(vocabulary, asked["key"] == vocabulary["word"], "left_semi").select("key", F.lit("nltk_direct").alias("how"), F.col("key").alias("found_as"))
-    forms = asked.select("key", F.posexplode(variations(F.col("key"))).alias("at", "word")).join(vocabulary, "word")
-    varied = forms.groupBy("key").agg(F.min_by("word", "at").alias("found_as")).select("key", F.lit("nltk_variation").alias("how"), "found_as")
+    forms = asked.select("key", F.posexplode(variations(F.col("key"))).alias("at", "word"))
+    if lemmas is not None:
+        base = lemmas.select(F.lower("word").alias("key"), F.lower("lemma").alias("word")).where("word <> key").distinct()
+        forms = forms.unionByName(asked.join(base, "key").select("key", F.lit(-1).alias("at"), "word"))
+    forms = forms.join(vocabulary, "word")
+    varied = forms.groupBy("key").agg(F.min_by("word", F.struct("at", "word")).alias("found_as")).select("key", F.lit("nltk_variation").alias("how"), "found_as")
     found = direct.union(varied.join(direct, "key", "left_anti"))
     joined = c.withColumn("key", key).join(found, "key", "left")
     undecided = F.col("c.in_dictionary").isNull()

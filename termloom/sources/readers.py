@@ -58,6 +58,18 @@ def glossary_tree(spark: SparkSession, root: str) -> DataFrame:
     return named.join(files, "file").select("pair", "source", "target", (F.shiftleft(F.col("rank") - 1, 40) + F.col("line") % F.lit(1 << 40)).alias("load_order"), "file")
 
 
+def glossary_rows(spark: SparkSession, root: str) -> DataFrame:
+    """(file, source, target, two_columns) of every row of the glossary files under root, as they stand.
+
+    Empty fields are empty strings; two_columns is false where a row has fewer or more fields.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("header", True).option("multiLine", True).option("escape", '"')
+    raw = rows.option("columnNameOfCorruptRecord", "bad").schema("source string, target string, bad string").csv(root)
+    ok = F.col("bad").isNull()
+    filled = lambda c: F.when(ok, F.coalesce(c, F.lit(""))).otherwise(F.col(c))
+    return raw.select(F.col("_metadata.file_path").alias("file"), filled("source").alias("source"), filled("target").alias("target"), ok.alias("two_columns"))
+
+
 def first_lines(spark: SparkSession, root: str) -> DataFrame:
     """(file, first_line) of glossary files, for the header check."""
     whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root, wholetext=True)

@@ -164,3 +164,13 @@ def test_wait_sees_a_stalled_stream(spark):
         assert streaming.wait(q, limit=0.5, poll=0.2) == "timeout"
     finally:
         q.stop()
+
+
+def test_glossary_rows_of_other_than_two_columns(spark, tmp_path):
+    (tmp_path / "DEU.csv").write_text('source,target\nbolt,Bolzen\nnut\ngear,Rad,x\n a ,\n"q ""x""",y\n')
+    got = {r.source: (r.target, r.two_columns) for r in readers.glossary_rows(spark, str(tmp_path)).collect()}
+    assert got == {"bolt": ("Bolzen", True), "nut": (None, False), "gear": ("Rad", False), " a ": ("", True), 'q "x"': ("y", True)}
+    from termloom.operators import glossary
+
+    flags = {r.source: r for r in glossary.content_issues(readers.glossary_rows(spark, str(tmp_path))).collect()}
+    assert flags[" a "].space_source and flags[" a "].empty_target and flags['q "x"'].quote_source and not flags["bolt"].space_source

@@ -292,3 +292,9 @@ def test_agent_calls(spark):
     assert {r.pair: r.n_terms for r in a.overview().collect()} == {"ENG-DEU": 2, "DNT": 1}
     assert a.related(["bolt"]).first().duplicates == 1
     assert a.lookup("runs").first().method == "nltk_variation" and {r.term: r.in_dictionary for r in a.lookup(["color", "qqzz"]).collect()} == {"color": True, "qqzz": False}
+
+
+def test_lemmas_come_before_suffixes(spark):
+    words, lemmas = col(spark, ["go", "run", "went"], "word"), spark.createDataFrame([("gone", "go"), ("ran", "run"), ("went", "go"), ("runs", "Run")], "word string, lemma string")
+    got = {r.term: (r.method, r.found_as) for r in dictionary.classify_terms(col(spark, ["gone", "ran", "went", "runs", "qqzz"], "term"), words, lemmas=lemmas).collect()}
+    assert got == {"gone": ("nltk_variation", "go"), "ran": ("nltk_variation", "run"), "went": ("nltk_direct", None), "runs": ("nltk_variation", "run"), "qqzz": ("nltk_not_found", None)}
