@@ -219,3 +219,15 @@ def test_quality_rows(spark):
 def test_word_hashes_do_not_depend_on_place():
     a, b = Words(["xx abc yy"]), Words(["abc"])
     assert a.hash[1] == b.hash[0] and len(set(a.hash.tolist())) == 3
+
+
+def test_rows_first_by_hash(spark):
+    from termloom.llm._spark import first_by_hash
+
+    df = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
+    got = [r.id for r in first_by_hash(df, "h", 50, "id")]
+    want = sorted(df.collect(), key=lambda r: (r.h >> 11) & ((1 << 53) - 1))[:50]
+    assert got == [r.id for r in want]
+    same = spark.range(3000).select("id", F.xxhash64(F.lit(1)).alias("h"))
+    assert [r.id for r in first_by_hash(same, "h", 5, "id")] == [0, 1, 2, 3, 4]
+    assert first_by_hash(df.limit(0), "h", 5) == [] and len(first_by_hash(df.limit(3), "h", 5)) == 3
