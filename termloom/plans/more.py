@@ -8,7 +8,11 @@ from ..functions import lexicon as L
 from ..functions import text as T
 from ..operators import decide, export, glossary, scoring, store, translation
 from . import fixtures as X
-from .queries import ANSWERS, DECISIONS, ISSUE, KIND, STORE_SQL, _any, _contexts, _decisions, _store, _terms, _translations, query
+from .pipeline import decided
+from .queries import (
+    ANSWERS, CTX_BASE, CTX_SCORE, DECIDE, DECISIONS, GENERIC, ISSUE, JOINED, KIND, N_CTX, PENALTIES, PENALTY, QUALITY, RATES, STORE_SQL, TIER, TRANSLATABLE, _any, _contexts, _count, _decisions, _store, _terms,
+    _translations, query,
+)
 
 _PERCENT = "printf('%.1f', round({0} * 100, 1)) || '%'"
 _USAGE = "list_filter([" + ", ".join(f"CASE WHEN {_any('x', w)} THEN '{k}' END" for k, w in L.USAGE.items()) + "], lambda u: u IS NOT NULL)"
@@ -163,3 +167,76 @@ def convert_statistics(spark, d):
     from ..sources import readers
 
     return readers.simple_statistics(_contexts(spark, d))
+
+
+# The parts of a decision from the operators themselves, not from made-up rates.
+_RATES = f"""
+s AS (SELECT term, count(*) AS total, count(*) FILTER (WHERE kind = 'same') AS sm, count(*) FILTER (WHERE kind = 'translated') AS tl, count(*) FILTER (WHERE kind <> 'error') AS ok,
+  count(issue) AS iss, count(*) FILTER (WHERE issue IS NULL OR issue = 'suspicious_length') AS ver FROM (SELECT *, {KIND} AS kind, {ISSUE} AS issue FROM ({X.TRANSLATIONS}) AS x) AS t GROUP BY term),
+rates AS (SELECT c.term, c.frequency, c.contexts, round(CASE WHEN ok > 0 THEN tl / ok ELSE 0.0 END, 6)::DOUBLE AS score, tl / total AS coverage, sm / total AS same, iss, ver FROM ({X.CONTEXTS}) AS c JOIN s ON s.term = c.term)"""
+_QUALITY_OF = rf"""SELECT term, round(CASE WHEN {N_CTX} = 0 THEN 0.0 ELSE least(1.0::DOUBLE, (least(1.0::DOUBLE, list_sum(list_transform(contexts, lambda c: length(c))) / {N_CTX} / 100::DOUBLE) + len(list_distinct(w)) / greatest(1, len(w))) / 2) END, 6) AS cq,
+  round(CASE WHEN {N_CTX} = 0 THEN 0.1 ELSE least(1.0::DOUBLE, ((length(x) - length(replace(x, lower(term), ''))) / greatest(1, length(term)) + {_count("x", L.RICHNESS)}) / 10::DOUBLE) END, 6) AS cr
+  FROM (SELECT term, contexts, {JOINED} AS x, list_filter(string_split_regex({JOINED}, '\s+'), lambda w: w <> '') AS w FROM ({X.CONTEXTS}) AS t) AS u"""
+_SUM = """round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, quality * 0.25 + rel * 0.2
+ + CASE category WHEN 'UNTRANSLATABLE' THEN CASE WHEN tech AND same > 0.8 THEN 0.08 WHEN tech THEN 0.06 ELSE -0.05 END WHEN 'PARTIALLY_TRANSLATABLE' THEN CASE WHEN coverage >= 0.3 THEN 0.04 ELSE -0.02 END ELSE 0.08 END::DOUBLE
+ - least(0.05::DOUBLE, len(ind) * 0.01::DOUBLE)
+ + CASE WHEN coverage >= 0.95 THEN 0.15 WHEN coverage >= 0.85 THEN 0.12 WHEN coverage >= 0.70 THEN 0.09 WHEN coverage >= 0.50 THEN 0.06 WHEN coverage >= 0.30 THEN 0.03 ELSE 0.0 END::DOUBLE
+ + CASE WHEN iss = 0 THEN CASE WHEN ver >= 10 THEN 0.10 WHEN ver >= 5 THEN 0.09 ELSE 0.08 END WHEN iss <= 2 THEN -0.01 WHEN iss <= 5 THEN -0.03 ELSE -least(0.08::DOUBLE, iss * 0.015::DOUBLE) END::DOUBLE
+ + cq * 0.08 + cr * 0.07 + 0.02 + penalty)), 6)"""
+
+
+@query(f"""
+WITH {_RATES}, {TRANSLATABLE.replace(RATES, "SELECT * FROM rates")},
+rev AS (WITH c AS ({CTX_BASE}) SELECT term, {CTX_SCORE} AS rel FROM c),
+qual AS ({PENALTIES}, r AS (SELECT p.*, rev.rel FROM p JOIN rev ON rev.term = p.term) SELECT term, rel, n, {QUALITY} AS quality FROM r),
+gen AS ({GENERIC} SELECT term, {PENALTY} AS penalty FROM g), ctx AS ({_QUALITY_OF}),
+f AS (SELECT tr.*, qual.n, qual.rel, qual.quality, gen.penalty, {_SUM} AS final_score FROM tr JOIN qual ON qual.term = tr.term JOIN gen ON gen.term = tr.term JOIN ctx ON ctx.term = tr.term)
+SELECT term, category, action, final_score, {DECIDE} AS status, {TIER} AS quality_tier FROM f
+""")
+def composed_decisions(spark, d):
+    """Step 7 as the plan runs it: reviews, genericness, translations and verification of the operators joined, scored and decided."""
+    rows = _translations(spark, d)
+    t = decided(_contexts(spark, d).withColumn("in_dictionary", F.lit(None).cast("boolean")), translation.summary(rows), translation.verified(rows), L.DEFAULT)
+    return t.select("term", "category", "action", "final_score", "status", "quality_tier")
+
+
+# Codes and pairs over table columns.
+def _base(x: str) -> str:
+    """The normal form of a language code, in SQL."""
+    rules = [(f"lower({x}) IN ({', '.join(repr(n) for n in names)})", f"'{code}'") for code, names in L.LANGUAGE_CODES.items()]
+    rules += [(f"starts_with({x}, 'CORE_') AND contains({x}, '_TERMS')", f"replace(replace({x}, 'CORE_', ''), '_TERMS', '')"), (f"contains(lower({x}), '-') AND lower({x}) <> 'zh-tw'", f"split_part(lower({x}), '-', 1)")]
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE upper({x}) END"
+
+
+CODES = """SELECT DISTINCT code FROM (SELECT lang AS code FROM {documents} UNION ALL SELECT upper(lang) FROM {documents} UNION ALL SELECT concat(lang, '-', upper(source)) FROM {documents}
+  UNION ALL SELECT concat('CORE_', upper(lang), '_TERMS') FROM {documents} UNION ALL SELECT n_name FROM {nation} UNION ALL SELECT substr(lower(n_name), 1, 2) FROM {nation} UNION ALL SELECT substr(n_name, 1, 3) FROM {nation}) AS c"""
+
+
+@query(f"SELECT code, {_base('code')} AS base, CASE lower(code) {' '.join(f'WHEN {k!r} THEN {v!r}' for k, v in L.TRANSLATOR_CODES.items())} END AS translator FROM ({CODES}) AS c")
+def lang_codes(spark, d):
+    """Codes of documents and nations in normal form, and as the translator names them."""
+    return X.fixture(spark, d, CODES).select("code", T.language(F.col("code")).alias("base"), T.translator_code(F.lower("code")).alias("translator"))
+
+
+PAIRS = "SELECT DISTINCT s.code AS src, t.code AS tgt FROM (SELECT lang AS code FROM {documents} UNION ALL SELECT 'eng' UNION ALL SELECT 'English') AS s, (SELECT lang AS code FROM {documents} UNION ALL SELECT 'french' UNION ALL SELECT 'csy') AS t"
+
+
+@query(f"""
+WITH r AS ({PAIRS}), g AS (SELECT DISTINCT pair FROM ({X.GLOSSARY}) AS g),
+c AS (SELECT src, tgt, unnest([1, 2, 3, 4]) AS i, unnest([upper(src) || '-' || upper(tgt), lower(src) || '-' || lower(tgt), {_base("src")} || '-' || {_base("tgt")}, CASE WHEN upper(src) IN ('EN', 'ENG') THEN 'ENG-CSY' END]) AS pair FROM r)
+SELECT src, tgt, arg_min(c.pair, i) AS pair FROM c JOIN g ON g.pair = c.pair GROUP BY src, tgt
+""")
+def glossary_pairs(spark, d):
+    """The glossary of each pair of the documents' languages, and of some names."""
+    from .queries import _glossary
+
+    return glossary.resolve_pairs(X.fixture(spark, d, PAIRS), _glossary(spark, d))
+
+
+SPECS = "SELECT DISTINCT o_custkey % 60 AS k, concat(CAST(o_custkey % 60 AS VARCHAR(9)), '-', CAST(o_custkey % 60 + o_custkey % 3 AS VARCHAR(9)), ', ', CAST(o_custkey % 60 + 7 AS VARCHAR(9)), ',x,', CAST(o_custkey % 60 AS VARCHAR(9))) AS spec FROM {orders}"
+
+
+@query(f"WITH s AS ({SPECS}) SELECT spec, CAST(n AS BIGINT) AS n FROM (SELECT spec, unnest(range(k, k + k % 3 + 1)) AS n FROM s UNION SELECT spec, k + 7 FROM s) AS u")
+def batch_specs(spark, d):
+    """The batches that written lists of numbers and ranges name."""
+    return X.fixture(spark, d, SPECS).select("spec", F.explode(T.batch_numbers(F.col("spec"))).alias("n"))

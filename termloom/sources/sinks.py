@@ -78,3 +78,10 @@ def consolidated(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def audit_json(record: DataFrame, path: str) -> None:
     record.coalesce(1).write.mode("overwrite").json(path)
+
+
+def batch_json(results: DataFrame, path: str, as_of) -> None:
+    """The results of each batch as JSON, and beside them each batch's counters: results, successes, failures, rate."""
+    batches.as_batch_files(results, f"{path}/rows")
+    counters = batches.consolidate(results).withColumns({"n_failed": F.col("n") - F.col("n_ok"), "recorded_at": as_of})
+    counters.write.mode("overwrite").partitionBy("batch_id").json(f"{path}/metadata")

@@ -174,3 +174,11 @@ def test_glossary_rows_of_other_than_two_columns(spark, tmp_path):
 
     flags = {r.source: r for r in glossary.content_issues(readers.glossary_rows(spark, str(tmp_path))).collect()}
     assert flags[" a "].space_source and flags[" a "].empty_target and flags['q "x"'].quote_source and not flags["bolt"].space_source
+
+
+def test_batch_files_with_counters(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", True), (1, "b", False), (2, "c", True)], "batch_id long, term string, ok boolean")
+    sinks.batch_json(df, str(tmp_path), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert {(r.batch_id, r.n, r.n_ok, r.n_failed, r.success_rate) for r in spark.read.json(f"{tmp_path}/metadata").collect()} == {(1, 2, 1, 1, 50.0), (2, 1, 1, 0, 100.0)}
+    per, totals = sinks.consolidated(spark, f"{tmp_path}/rows")
+    assert per.count() == 2 and totals.first().successes == 2
