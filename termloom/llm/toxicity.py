@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import integer_id
+from ._spark import cut, first_by_hash, integer_id
 from ._text import U64, Words, _power, chunks, release, runs
 
 SIZES = (3, 4, 5)
@@ -230,11 +230,9 @@ def labelled_sample(df: DataFrame, labels: DataFrame, label: str, classes: list,
     named = labels.select(integer_id(labels, id_col).alias("id"), F.col(label).alias("label")).where(F.col("label").isin(classes) & F.col("id").isNotNull())
     named = named.where(~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
     usable = named.join(df.where(fits).select(own.alias("id")).distinct(), "id", "left_semi")
-    order = F.xxhash64(F.col("id").cast("string"))
-    chosen = None
-    for c in classes:
-        part = usable.where(F.col("label") == c).orderBy(order, "id").limit(per_class)
-        chosen = part if chosen is None else chosen.union(part)
+    usable = cut(usable.select("id", "label", F.xxhash64(F.col("id").cast("string")).alias("h")))
+    picked = [r for c in classes for r in first_by_hash(usable.where(F.col("label") == c), "h", per_class, "id")]
+    chosen = df.sparkSession.createDataFrame([(r["id"], r["label"]) for r in picked], usable.select("id", "label").schema)
     # at most per_class rows of each class are broadcast
     rows = df.where(fits).select(own.alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
     out = sorted(rows.collect(), key=lambda r: r["id"])
