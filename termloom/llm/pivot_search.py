@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._spark import cut, integer_id
+from ._spark import cut, first_by_hash, integer_id
 from ._vectors import finite, matrix, unpack
 
 PIVOTS, SAMPLE = 32, 2048
@@ -222,7 +222,7 @@ def search(df: DataFrame, *, every: int = 20, k: int = 20, id_col: str = "vec_id
     rows = df.select(integer_id(df, id_col).alias("id"), F.col(vec_col).alias("vec"))
     rows = cut(rows.where(F.col("id").isNotNull() & finite("vec")))
     n = rows.count()
-    sample = rows.select("vec").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    sample = first_by_hash(rows.select("id", "vec", F.xxhash64("id").alias("h")), "h", SAMPLE, "id")
     pivots, seeds, for_queries = {}, {}, {}
     for d in {len(r.vec) for r in sample if len(r.vec)}:
         own = np.unique(np.floor(64.0 * np.array([r.vec for r in sample if len(r.vec) == d], np.float64)), axis=0)
