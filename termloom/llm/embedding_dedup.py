@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._spark import cut, integer_id
+from ._spark import cut, first_by_hash, integer_id
 from ._vectors import finite, matrix, unpack
 
 THRESHOLD = 0.93
@@ -182,7 +182,7 @@ def near_duplicate_vectors(df: DataFrame, *, id_col: str = "vec_id", vec_col: st
     usable = rows.where("ok").select("id", "label", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2"))
     by = ["label", "h1", "h2"]
     classes = cut(usable.groupBy(*by, "vec").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    sample = classes.select("vec").orderBy(F.xxhash64("rep")).limit(SAMPLE).collect()
+    sample = first_by_hash(classes.select("rep", "vec", F.xxhash64("rep").alias("h")), "h", SAMPLE, "rep")
     basis, trees = {}, {}
     for d in {len(r.vec) for r in sample}:
         m = np.array([r.vec for r in sample if len(r.vec) == d], np.float64)
