@@ -221,6 +221,13 @@ def lang_codes(spark, d):
 PAIRS = "SELECT DISTINCT s.code AS src, t.code AS tgt FROM (SELECT lang AS code FROM {documents} UNION ALL SELECT 'eng' UNION ALL SELECT 'English') AS s, (SELECT lang AS code FROM {documents} UNION ALL SELECT 'french' UNION ALL SELECT 'csy') AS t"
 
 
+def _pairs(spark, d):
+    """The rows of PAIRS; each side's codes are made distinct before they are paired, as pairs of documents grow with their square."""
+    langs = X.table(spark, d, "documents").select(F.col("lang").alias("code")).distinct()
+    side = lambda names: langs.union(spark.createDataFrame([(n,) for n in names], "code string")).distinct()
+    return side(["eng", "English"]).select(F.col("code").alias("src")).crossJoin(side(["french", "csy"]).select(F.col("code").alias("tgt")))
+
+
 @query(f"""
 WITH r AS ({PAIRS}), g AS (SELECT DISTINCT pair FROM ({X.GLOSSARY}) AS g),
 c AS (SELECT src, tgt, unnest([1, 2, 3, 4]) AS i, unnest([upper(src) || '-' || upper(tgt), lower(src) || '-' || lower(tgt), {_base("src")} || '-' || {_base("tgt")}, CASE WHEN upper(src) IN ('EN', 'ENG') THEN 'ENG-CSY' END]) AS pair FROM r)
@@ -230,7 +237,7 @@ def glossary_pairs(spark, d):
     """The glossary of each pair of the documents' languages, and of some names."""
     from .queries import _glossary
 
-    return glossary.resolve_pairs(X.fixture(spark, d, PAIRS), _glossary(spark, d))
+    return glossary.resolve_pairs(_pairs(spark, d), _glossary(spark, d))
 
 
 SPECS = "SELECT DISTINCT o_custkey % 60 AS k, concat(CAST(o_custkey % 60 AS VARCHAR(9)), '-', CAST(o_custkey % 60 + o_custkey % 3 AS VARCHAR(9)), ', ', CAST(o_custkey % 60 + 7 AS VARCHAR(9)), ',x,', CAST(o_custkey % 60 AS VARCHAR(9))) AS spec FROM {orders}"

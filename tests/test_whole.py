@@ -2,7 +2,7 @@
 
 import pytest
 
-from termloom.plans import queries
+from termloom.plans import more, queries
 from termloom.plans import fixtures as X
 
 PAD = "filler words " * 60
@@ -37,3 +37,19 @@ def test_answers_and_contexts_cover_whole_tables(spark):
     assert all(len(r.contexts) == min(3, r.n_texts) for r in few) and max(r.n_texts for r in few) > 3
     assert queries.QUERIES["answer_classes"](spark, sf).count() == X.table(spark, sf, "conversations").count()
     assert "left(" not in queries.ANSWERS + queries.AGG_INPUT + queries.TERM_FIELD + queries._REPLACED
+
+
+def test_pairs_of_codes_not_of_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([("en",), ("de",), (None,), ("fr",)], "lang string")
+    docs = docs.crossJoin(spark.range(30_000)).select("lang")
+    monkeypatch.setattr(X, "table", lambda s, d, name: docs)
+    plan = more.glossary_pairs(spark, "")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "Join Cross" in line or "Join Inner, " not in line and "Join Inner" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    sides = [line for line in plan[at + 1 :] if depth(line) == depth(plan[at]) + 3][:2]
+    assert len(sides) == 2 and all("Aggregate" in s for s in sides), plan
+    got = more._pairs(spark, "").collect()
+    few = docs.distinct()
+    monkeypatch.setattr(X, "table", lambda s, d, name: few)
+    assert sorted(map(str, got)) == sorted(map(str, X.fixture(spark, "", more.PAIRS).collect())) and len(got) == 36
+    assert {(r.src, r.tgt): r.pair for r in more.glossary_pairs(spark, "").collect()}[("en", "de")] == "EN-DE"
