@@ -4,12 +4,14 @@ Documents are summed to cells of source, language and topic, weighted by tokens
 tokenizer. Raking scales the cells' rates by one factor for each source, language and topic in
 turn, none beyond 1, until the expected tokens have the target shares of all three marginals and
 add up to the token budget. A document's probability is its cell's rate, and documents are drawn
-by a hash of their id. Topics are clusters of the documents' words (spherical k-means), found
-within each language and numbered by size, so that a topic's share doesn't fix a language's.
+by a hash of their id. Topics are clusters of the words of all documents (spherical k-means),
+found within each language and numbered by size, so that a topic's share doesn't fix a language's.
 """
 
 from __future__ import annotations
 
+import itertools
+import pickle
 import warnings
 from dataclasses import dataclass
 
@@ -18,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, first_by_hash, integer_id
-from ._text import U64, Words, release, runs
+from ._spark import cut, integer_id
+from ._text import U64, Words, mix, release, runs
 from .token_counts import _vocabulary, encoded
 
 #: The most cells that are raked on the driver; more are raked, by the same rule, as a distributed table.
@@ -30,10 +32,16 @@ ROUNDS, TOLERANCE = 200, 1e-9
 ALPHA = {"source": 0.7, "lang": 0.8, "topic": 0.8}
 #: Expected tokens of the sample, as a share of all, where no budget is given.
 SHARE = 0.5
-#: Topics; documents (and their longest text) that they are fitted to; buckets of words; rounds.
-TOPICS, SAMPLE, LONGEST, BITS, STEPS = 6, 2000, 65536, 13, 25
-#: Documents of the sample that a language needs for topics of its own; others share the topics of all.
-OWN = 50
+#: Topics; buckets of words, as a power of 2; rounds of k-means at most.
+TOPICS, BITS, STEPS = 6, 13, 25
+#: Documents, and share of all documents, that a language needs for topics of its own; others share the topics of all.
+OWN, OWN_SHARE = 50, 0.025
+#: Vectors hold whole multiples of 2 ** -SCALE: their sums are exact, so rows may come in any order and parts.
+SCALE = 24
+#: The power of a document's distance to the first centres before it by which it is drawn as the next one.
+AWAY = 4
+#: Entries of vectors in one row of their table; bytes of sums that reach the driver in one round.
+ENTRIES, DRIVER_BYTES = 1 << 18, 128 << 20
 
 
 # Topics and tokens -----------------------------------------------------------------------------
@@ -48,67 +56,174 @@ def _bucket(words: Words) -> np.ndarray:
     return (words.hash & U64((1 << BITS) - 1)).astype(np.int64)
 
 
-def train_table(texts: list, k: int = TOPICS) -> np.ndarray:
-    """Spherical k-means of tf-idf vectors over hashed words; the first centres are far from each other.
+def vectors(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n, bucket, count): how many buckets of words each whole text has, and those buckets and their counts, text by text."""
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, _hi, part, words in runs(texts):
+        key, n = np.unique((words.doc + lo) << BITS | _bucket(words), return_counts=True)
+        if part:
+            # a long text goes on
+            key, at = np.unique(np.concatenate([keys[-1], key]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([counts[-1], n])).astype(np.int64)
+            keys.pop(), counts.pop()
+        keys.append(key)
+        counts.append(n)
+    key = np.concatenate(keys)
+    return np.bincount(key >> BITS, minlength=len(texts)), (key & ((1 << BITS) - 1)).astype("<u2"), np.concatenate(counts).astype("<u4")
+
+
+def _sums(value: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The sums of runs of n values, none of them empty."""
+    return np.add.reduceat(value, np.cumsum(n) - n) if len(n) else np.zeros(0)
+
+
+def _weighted(n: np.ndarray, bucket: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The tf-idf vectors of length 1 of documents of n buckets each, in units of 2 ** -SCALE."""
+    x = count * idf[bucket]
+    return np.rint(x * np.repeat(2.0**SCALE / np.sqrt(_sums(x * x, n)), n)).astype("<i4")
+
+
+def _products(n: np.ndarray, bucket: np.ndarray, value: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The product of each vector with each centre; in blocks of vectors that fit a cache."""
+    out, start = np.zeros((len(centres), len(n))), np.cumsum(n) - n
+    for lo, hi in itertools.pairwise(np.flatnonzero(np.diff(start >> 14, prepend=-1, append=-1))):
+        span = slice(int(start[lo]), int(start[hi - 1] + n[hi - 1]))
+        x, at, first = value[span].astype(np.float64), bucket[span].astype(np.intp), start[lo:hi] - start[lo]
+        one = np.empty(len(x))
+        for row, c in zip(out, centres, strict=True):
+            np.take(c, at, out=one, mode="clip")
+            np.add.reduceat(np.multiply(one, x, out=one), first, out=row[lo:hi])
+    return out
+
+
+def _drawn(shards, centres: dict, turn: int) -> dict:
+    """For each group the document drawn as the next first centre: (key, buckets, values), the smallest key of all.
+
+    Documents are drawn by hashes, with weights that grow with their distance to the nearest centre so far.
+    """
+    out: dict = {}
+    for g, n, bucket, value, h in shards:
+        if g not in centres:
+            continue
+        key = -np.log(((mix(h + U64(turn)) >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+        if len(centres[g]):
+            away = 1 - _products(n, bucket, value, centres[g]).max(axis=0) * 2.0**-SCALE
+            key = np.where(away > 1e-6, key / np.maximum(away, 1e-6) ** AWAY, np.inf)
+        i = int(np.argmin(key))
+        if np.isfinite(key[i]):
+            lo = int(n[:i].sum())
+            found = (float(key[i]), bucket[lo : lo + n[i]].tobytes(), value[lo : lo + n[i]].tobytes())
+            out[g] = min(out.get(g, found), found)
+    return out
 
-    Texts without words play no part; without any, every text has topic 0. Topics are numbered
-    from the largest. With fewer distinct texts than k some topics stay empty.
+
+def _summed(shards, centres: dict) -> dict:
+    """For each group the sum of the vectors nearest to each centre, and their number."""
+    out: dict = {}
+    for g, n, bucket, value, _ in shards:
+        if g not in centres:
+            continue
+        k = len(centres[g])
+        best = np.argmax(_products(n, bucket, value, centres[g]), axis=0)
+        sums = np.bincount(np.repeat(best << BITS, n) + bucket, value, k << BITS).reshape(k, -1)
+        counts = np.bincount(best, minlength=k)
+        if g in out:
+            out[g][0].__iadd__(sums)
+            out[g][1].__iadd__(counts)
+        else:
+            out[g] = (sums, counts)
+    return out
+
+
+def _clustered(groups: dict, k: int, run) -> dict:
+    """The table of each group; groups: for each its idf, run: partial results of a step over all vectors.
+
+    Spherical k-means: the first centres are drawn far from each other, then rounds over all
+    vectors follow until nothing changes. Topics are numbered from the largest. With fewer
+    distinct texts than k there are fewer topics.
     """
-    x = np.zeros((len(texts), 1 << BITS), np.float32)
-    for lo, hi, _, words in runs(texts):
-        np.add.at(x, (words.doc + lo, _bucket(words)), 1)
-    x = x[x.any(axis=1)]
-    if not len(x):
-        return np.zeros((1 << BITS, 1), np.float32)
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1e-3
-    x *= idf.astype(np.float32)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    centre = x.mean(0)
-    chosen, near = [], x @ (centre / np.linalg.norm(centre))
-    for _ in range(min(k, len(x))):
-        chosen.append(int(np.argmin(near)))
-        near = np.maximum(near, x @ x[chosen[-1]])
-    centres = x[chosen]
-    best = np.argmax(x @ centres.T, axis=1)
+    centres = {g: np.zeros((0, 1 << BITS)) for g in groups}
+    live = set(groups)
+    for turn in range(k):
+        found: dict = {}
+        for part in run(_drawn, {g: centres[g] for g in live}, turn) if live else ():
+            for g, x in part.items():
+                found[g] = min(found.get(g, x), x)
+        live = set(found)
+        for g, (_, bucket, value) in found.items():
+            one = np.zeros(1 << BITS)
+            one[np.frombuffer(bucket, "<u2")] = np.frombuffer(value, "<i4") * 2.0**-SCALE
+            centres[g] = np.vstack([centres[g], one])
+    before: dict = {}
+    sizes = {g: np.zeros(len(c), np.int64) for g, c in centres.items()}
+    live = {g for g in groups if len(centres[g])}
     for _ in range(STEPS):
-        sums = np.stack([x[best == j].sum(0) if (best == j).any() else centres[j] for j in range(len(centres))])
-        centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
-        now = np.argmax(x @ centres.T, axis=1)
-        if (now == best).all():
-            break
-        best = now
-    order = np.argsort(-np.bincount(best, minlength=len(centres)), kind="stable")
-    return (centres[order] * idf).T.astype(np.float32)
+        total: dict = {}
+        for part in run(_summed, {g: centres[g] for g in live}) if live else ():
+            for g, (sums, counts) in part.items():
+                total[g] = (total[g][0] + sums, total[g][1] + counts) if g in total else (sums, counts)
+        for g, (sums, counts) in total.items():
+            sizes[g] = counts
+            if g in before and np.array_equal(before[g], sums):
+                live.discard(g)
+                continue
+            before[g] = sums
+            length = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+            centres[g] = np.where(counts[:, None] > 0, sums / np.maximum(length, 1.0), centres[g])
+    empty = np.zeros((1 << BITS, 1), np.float32)
+    return {g: (c[np.argsort(-sizes[g], kind="stable")] * groups[g]).T.astype(np.float32) if len(c) else empty for g, c in centres.items()}
+
 
+def _idf(documents: int, having: np.ndarray) -> np.ndarray:
+    return np.log((1 + documents) / (1 + having)) + 1e-3
 
-def train_topics(texts: list, langs: list, k: int = TOPICS) -> Topics:
-    """A table for each language with OWN texts or more, and one for the other languages."""
-    tables = {None: train_table(texts, k)}
-    for lang in sorted({x for x in langs if x is not None}):
-        own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-        if len(own) >= OWN:
-            tables[lang] = train_table(own, k)
-    return Topics(tables)
+
+def _needed(documents: int) -> float:
+    """Documents with words that a language needs for a table of its own."""
+    return max(OWN, OWN_SHARE * documents)
+
+
+def train_topics(texts: list, langs: list, k: int = TOPICS, keys: list | None = None) -> Topics:
+    """A table for each language with enough texts, and one of all texts for the others; keys: a hash of each document, by which first centres are drawn.
+
+    The method of fit_topics() over lists. Texts without words play no part; without any, every text has topic 0.
+    """
+    n, bucket, count = vectors(texts)
+    h = mix(np.arange(len(texts), dtype=U64)) if keys is None else np.array(keys, np.int64).view(U64)
+    have = [x for x, c in zip(langs, n, strict=True) if c]
+    names = [None, *sorted(x for x in set(have) - {None} if have.count(x) >= _needed(len(have)))]
+    groups, shards = {}, []
+    for g, lang in enumerate(names):
+        own = (n > 0) & np.array([lang is None or x == lang for x in langs], bool)
+        b, c, m = bucket[np.repeat(own, n)], count[np.repeat(own, n)], n[own]
+        groups[g] = _idf(len(m), np.bincount(b, minlength=1 << BITS))
+        if len(m):
+            shards.append((g, m, b, _weighted(m, b, c, groups[g]), h[own]))
+    tables = _clustered(groups, k, lambda step, *args: [step(shards, *args)])
+    return Topics({lang: tables[g] for g, lang in enumerate(names)})
+
+
+def train_table(texts: list, k: int = TOPICS) -> np.ndarray:
+    """The table of all texts."""
+    return train_topics(texts, [None] * len(texts), k).tables[None]
+
+
+def _topics(n: np.ndarray, bucket: np.ndarray, count: np.ndarray, langs: list, model: Topics) -> list[str]:
+    """The topic of each document among those of its language: the centre with the largest product; none without words."""
+    out, names = np.full(len(n), "none", object), {lang: i for i, lang in enumerate(model.tables)}
+    of = np.array([names.get(x, names[None]) for x in langs], np.int64)
+    for lang, i in names.items():
+        own = (n > 0) & (of == i)
+        if own.any():
+            at = np.repeat(own, n)
+            best = np.argmax(_products(n[own], bucket[at], count[at], np.ascontiguousarray(model.tables[lang].T, np.float64)), axis=0)
+            out[own] = [f"topic{j}" for j in best]
+    return out.tolist()
 
 
 def topics_of(texts: list, langs: list, model: Topics) -> list[str]:
-    """The topic of each whole text among those of its language: the centre with the largest product; none for a text without words."""
-    out = ["none"] * len(texts)
-    group: dict = {}
-    for i, lang in enumerate(langs):
-        group.setdefault(lang if lang in model.tables else None, []).append(i)
-    for lang, at in group.items():
-        table, own = model.tables[lang], [texts[i] for i in at]
-        score, words_in = np.zeros((len(own), table.shape[1])), np.zeros(len(own), np.int64)
-        for lo, hi, _, words in runs(own):
-            value = table[_bucket(words)]
-            words_in[lo:hi] += np.bincount(words.doc, minlength=hi - lo)
-            for j in range(value.shape[1]):
-                score[lo:hi, j] += np.bincount(words.doc, value[:, j], hi - lo)
-        for i, best, n in zip(at, np.argmax(score, axis=1), words_in, strict=True):
-            if n:
-                out[i] = f"topic{best}"
-    return out
+    """The topic of each whole text; none for a text without words."""
+    return _topics(*vectors(texts), langs, model)
 
 
 def tokens_of(texts: list, path: str) -> list[int]:
@@ -117,20 +232,130 @@ def tokens_of(texts: list, path: str) -> list[int]:
     return [sum(map(len, encoded(encoding, t))) if t and t.isascii() else sum(map(len, encoded(encoding, (t or "").encode("utf-8", "replace").decode()))) for t in texts]
 
 
-def fit_topics(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", k: int = TOPICS, sample: int = SAMPLE) -> Topics:
-    """Topics from at most sample documents, those first in the order of a hash of their id and text."""
+_VECTOR = ["h", "bucket", "count"]
+_SHARDS = "g int, n binary, bucket binary, value binary, h binary"
+
+
+def _entries(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(n, values): the arrays that the rows of a binary column hold, end to end."""
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(0, kind)
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data, size = column.buffers()[2], np.dtype(kind).itemsize
+    lo, hi = int(at[0]), int(at[-1])
+    return np.diff(at) // size, np.frombuffer(data, kind, (hi - lo) // size, lo) if hi > lo else np.zeros(0, kind)
+
+
+def _binary(n: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The opposite: a binary column of runs of n values."""
+    ends = np.concatenate([[0], np.cumsum(n)]) * values.dtype.itemsize
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())])
+    return column.cast(pa.binary())
+
+
+def _strings(column: pa.Array) -> list:
+    return [None if x is None else str(x) for x in column.to_pylist()]
+
+
+def _with_vectors(batches, at: int, names: list[str], path: str | None):
+    """The batches with the columns tokens (if there is a path), bucket and count added."""
+    for batch in batches:
+        texts = batch.column(at).to_pylist()
+        n, bucket, count = vectors(texts)
+        tokens = [pa.array(tokens_of(texts, path), pa.int64())] if path else []
+        yield pa.RecordBatch.from_arrays([*batch.columns, *tokens, _binary(n, bucket), _binary(n, count)], names=names)
+        release()
+
+
+def _having(batches, names: dict, shared: bool):
+    """One row of the documents with words of each group, and of those with each bucket."""
+    out = {g: [0, np.zeros(1 << BITS, np.int64)] for g in [0] * shared + list(names.values())}
+    for batch in batches:
+        n, bucket = _entries(batch.column(1), "<u2")
+        of = np.array([names.get(x, -1) for x in _strings(batch.column(0))], np.int64)
+        for g, total in out.items():
+            own = (n > 0) & ((of == g) | (g == 0))
+            total[0] += int(own.sum())
+            total[1] += np.bincount(bucket[np.repeat(own, n)], minlength=1 << BITS)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(out)], pa.binary())], names=["part"])
+
+
+def _shards(batches, names: dict, groups: dict):
+    """The weighted vectors of each group, about ENTRIES entries to a row."""
+    for batch in batches:
+        n, bucket = _entries(batch.column(2), "<u2")
+        _, count = _entries(batch.column(3), "<u4")
+        h = batch.column(1).to_numpy(zero_copy_only=False)
+        of = np.array([names.get(x, -1) for x in _strings(batch.column(0))], np.int64)
+        block = (np.cumsum(n) - n) // ENTRIES
+        first = np.cumsum(n) - n
+        for lo, hi in itertools.pairwise(np.flatnonzero(np.diff(block, prepend=-1, append=-1))):
+            span = slice(int(first[lo]), int(first[hi - 1] + n[hi - 1]))
+            for g, idf in groups.items():
+                own = (n[lo:hi] > 0) & ((of[lo:hi] == g) | (g == 0))
+                if not own.any():
+                    continue
+                at, m = np.repeat(own, n[lo:hi]), n[lo:hi][own]
+                b = bucket[span][at]
+                row = [m.astype("<i4").tobytes(), b.tobytes(), _weighted(m, b, count[span][at], idf).tobytes(), h[lo:hi][own].astype("<i8").tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], names=["g", "n", "bucket", "value", "h"])
+
+
+def _read(batches):
+    for batch in batches:
+        for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            n, bucket, value, h = (np.frombuffer(x, kind) for x, kind in zip(row, ("<i4", "<u2", "<i4", "<u8"), strict=True))
+            yield g, n.astype(np.int64), bucket, value, h.astype(U64)
+
+
+def _stepped(batches, step, *args):
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(step(_read(batches), *args))], pa.binary())], names=["part"])
+
+
+def _fitted(rows: DataFrame, k: int, shared: bool) -> Topics:
+    """Topics from all rows (lang, h, bucket, count); with a table of all only if shared, or if a row needs it."""
+    spark = rows.sparkSession
+    by = cut(rows.where(F.octet_length("bucket") > 0).groupBy("lang").agg(F.count("*").alias("n")))
+    total = by.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    own = by.where(F.col("lang").isNotNull() & (F.col("n") >= _needed(total))).orderBy("lang").collect()
+    names = {r["lang"]: g for g, r in enumerate(own, 1)}
+    shared = shared or total > sum(r["n"] for r in own)
+
+    def collected(df: DataFrame, function, slots: int, *args) -> list:
+        # one part a task: few enough that the driver holds all of them
+        tasks = max(1, min(spark.sparkContext.defaultParallelism, DRIVER_BYTES // (max(1, slots) * 8 << BITS)))
+        return [pickle.loads(r["part"]) for r in df.coalesce(tasks).mapInArrow(lambda it: function(it, *args), "part binary").collect()]
+
+    n_groups = len(names) + shared
+    having: dict = {}
+    for part in collected(rows.select("lang", "bucket"), _having, n_groups, names, shared):
+        for g, (n, b) in part.items():
+            having[g] = (having[g][0] + n, having[g][1] + b) if g in having else (n, b)
+    groups = {g: _idf(n, b) for g, (n, b) in having.items()}
+    shards = cut(rows.select("lang", *_VECTOR).mapInArrow(lambda it: _shards(it, names, groups), _SHARDS))
+
+    def run(step, centres: dict, *args) -> list:
+        return collected(shards.where(F.col("g").isin(list(centres))), _stepped, n_groups * k, step, centres, *args)
+
+    tables = _clustered(groups, k, run)
+    return Topics({None: tables.get(0, np.zeros((1 << BITS, 1), np.float32)), **{lang: tables[g] for lang, g in names.items()}})
+
+
+def fit_topics(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", k: int = TOPICS) -> Topics:
+    """Topics from all documents and their whole texts; first centres are drawn by a hash of id and text."""
     text = F.col(text_col)
-    rows = df.where(text.isNotNull() & (F.length(text) <= LONGEST)).select(text.alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), text).alias("h"))
-    picked = first_by_hash(rows, "h", sample, "text")
-    return train_topics([r["text"] for r in picked], [r["lang"] for r in picked], k)
+    rows = df.select(text.alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), text).alias("h"))
+    names = [*rows.columns, "bucket", "count"]
+    rows = rows.mapInArrow(lambda it: _with_vectors(it, 0, names, None), "text string, lang string, h long, bucket binary, count binary")
+    return _fitted(cut(rows.drop("text")), k, True)
 
 
 def _described(batches, at: int, lang: int, names: list[str], path: str, model: Topics):
     """The batches with the columns topic and tokens added."""
     for batch in batches:
         texts = batch.column(at).to_pylist()
-        langs = [None if x is None else str(x) for x in batch.column(lang).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topics_of(texts, langs, model), pa.string()), pa.array(tokens_of(texts, path), pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topics_of(texts, _strings(batch.column(lang)), model), pa.string()), pa.array(tokens_of(texts, path), pa.int64())], names=names)
         release()
 
 
@@ -145,12 +370,31 @@ def _fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def described(df: DataFrame, path: str, model: Topics, text_col: str, lang_col: str) -> tuple[DataFrame, str, str]:
-    """df with two more columns, and their names: the topic and the number of tokens of the whole text."""
-    topic, tokens = _fresh(df, "topic", "tokens")
-    at, lang, names = df.columns.index(text_col), df.columns.index(lang_col), [*df.columns, topic, tokens]
-    schema = df.limit(0).withColumns({topic: F.lit(None).cast("string"), tokens: F.lit(None).cast("long")}).schema
-    return df.mapInArrow(lambda it: _described(it, at, lang, names, path, model), schema), topic, tokens
+def described(df: DataFrame, path: str, model: Topics | None, id_col: str, text_col: str, lang_col: str, keep: list[str]) -> tuple[DataFrame, str, str]:
+    """The columns keep of df with two more, and their names: the topic and the number of tokens of the whole text.
+
+    Without a model topics are fitted to df: vectors of all texts are written once, beside the
+    columns kept, and read for every step.
+    """
+    topic, tokens, *vector = _fresh(df, "topic", "tokens", *_VECTOR)
+    at, lang = df.columns.index(text_col), df.columns.index(lang_col)
+    new = {topic: "string", tokens: "long"} if model else {tokens: "long", vector[1]: "binary", vector[2]: "binary"}
+    if model is None:
+        df = df.withColumn(vector[0], F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    names, kept = [*df.columns, *new], [F.col(f"`{c}`") for c in keep]
+    schema = df.limit(0).withColumns({c: F.lit(None).cast(kind) for c, kind in new.items()}).schema
+    if model:
+        return cut(df.mapInArrow(lambda it: _described(it, at, lang, names, path, model), schema).select(*kept, topic, tokens)), topic, tokens
+    rows = df.mapInArrow(lambda it: _with_vectors(it, at, names, path), schema)
+    rows = cut(rows.select(*kept, tokens, *vector))
+    fitted = _fitted(rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), *(F.col(c).alias(v) for c, v in zip(vector, _VECTOR, strict=True))), TOPICS, False)
+
+    @F.arrow_udf("string")
+    def found(langs: pa.Array, bucket: pa.Array, count: pa.Array) -> pa.Array:
+        n, b = _entries(bucket, "<u2")
+        return pa.array(_topics(n, b, _entries(count, "<u4")[1], _strings(langs), fitted), pa.string())
+
+    return rows.withColumn(topic, found(F.col(f"`{lang_col}`").cast("string"), vector[1], vector[2])).select(*kept, topic, tokens), topic, tokens
 
 
 # Raking ----------------------------------------------------------------------------------------
@@ -320,10 +564,9 @@ def mixed(
     repeat an id are drawn alike; a null id is drawn as an empty one. Ids must be integers. Other
     columns play no part. An empty table gives an empty one.
     """
-    model = fit_topics(df, id_col=id_col, text_col=text_col, lang_col=lang_col) if topics is None else topics
     rows = df.select(integer_id(df, id_col).alias("id"), F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows, topic, tokens = described(rows, path, model, "text", "lang")
-    rows = cut(rows.drop("text"))
+    rows, topic, tokens = described(rows, path, topics, "id", "text", "lang", ["id", "source", "lang"])
+    rows = cut(rows) if topics is None else rows
     out = _with_rates(rows, ["source", "lang", topic], tokens, "rate", driver_cells, alpha=alpha, targets=targets, budget=budget, share=share, rounds=rounds)
     return out.withColumn("kept", draw("id", seed) < F.col("rate")).withColumnRenamed("id", id_col)
 
@@ -336,9 +579,8 @@ def sample(
 
     Rows are judged as in mixed(); columns of any name are kept as they are.
     """
-    model = fit_topics(df, id_col=id_col, text_col=text_col, lang_col=lang_col) if topics is None else topics
     integer_id(df, id_col)
-    rows, topic, tokens = described(df, path, model, text_col, lang_col)
+    rows, topic, tokens = described(df, path, topics, id_col, text_col, lang_col, df.columns)
     rate = _fresh(rows, "rate")[0]
-    out = _with_rates(cut(rows), [source_col, lang_col, topic], tokens, rate, driver_cells, alpha=alpha, targets=targets, budget=budget, share=share, rounds=rounds)
+    out = _with_rates(rows, [source_col, lang_col, topic], tokens, rate, driver_cells, alpha=alpha, targets=targets, budget=budget, share=share, rounds=rounds)
     return out.where(draw(id_col, seed) < F.col(rate)).select(*(F.col(f"`{c}`") for c in df.columns))

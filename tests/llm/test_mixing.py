@@ -99,6 +99,54 @@ def test_topics_are_the_clusters_of_a_language(spark):
     assert mixing.topics_of(["", None, "!!"], ["en", None, "xx"], mixing.train_topics([], [])) == ["none"] * 3
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """2,600 documents, more than topics were once fitted to, one of them longer than was once read, and a language of 40."""
+    r = rng(9)
+    rows = []
+    for i in range(2600):
+        lang = "xx" if i % 65 == 0 else "en" if i % 2 else "fr"
+        own = [f"{lang}{(i % 3) * 40 + int(x)}" for x in r.integers(0, 60, int(r.integers(20, 40)))]
+        rows.append((i, " ".join(own), f"s{i % 4}", None if i % 400 == 7 else lang))
+    rows[1] = (1, " ".join(f"late{i % 700}" for i in range(9000)), "s1", "en")
+    rows[4] = (4, " !! ", "s1", "fr")
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4).cache()
+
+
+def test_topics_are_fitted_to_all_documents(spark, many):
+    rows = many.withColumn("h", F.xxhash64("doc_id", "text")).collect()
+    want = mixing.train_topics([r.text for r in rows], [r.lang for r in rows], keys=[r.h for r in rows])
+    for df in (many, many.repartition(7, "text")):
+        got = mixing.fit_topics(df)
+        assert got.tables.keys() == want.tables.keys() == {None, "en", "fr"}
+        assert all(np.array_equal(got.tables[x], want.tables[x]) for x in want.tables)
+    # every document of a language counts: words of the long text alone, and of each document left out
+    late = int(mixing.Words(["late5"]).hash[0]) % (1 << mixing.BITS)
+    assert want.tables["en"][late].any()
+    less = mixing.fit_topics(many.where("doc_id <> 2599"))
+    assert not np.array_equal(less.tables["en"], want.tables["en"]) and np.array_equal(less.tables["fr"], want.tables["fr"])
+
+
+def test_mix_uses_topics_of_all_documents(spark, many):
+    topics = mixing.fit_topics(many)
+    one, two = ({r.doc_id: (r.topic, r.tokens, r.rate, r.kept) for r in mixing.mixed(many, PATH, topics=t).collect()} for t in (None, topics))
+    assert one == two and one[4][0] == "none"
+    assert {r.doc_id for r in mixing.sample(many, PATH).collect()} == {i for i, r in one.items() if r[3]}
+
+
+def test_vectors_count_the_words_of_whole_texts():
+    texts = ["b a b", None, "", "x " * 3, " ".join(f"w{i % 5000}" for i in range(500_000)), "a"]
+    n, bucket, count = mixing.vectors(texts)
+    ends = np.cumsum(n)
+    for t, hi, m in zip(texts, ends, n, strict=True):
+        want = np.bincount([int(h) % (1 << mixing.BITS) for h in mixing.Words([t]).hash], minlength=1 << mixing.BITS)
+        got = np.zeros(1 << mixing.BITS, np.int64)
+        got[bucket[hi - m : hi]] = count[hi - m : hi]
+        assert np.array_equal(got, want)
+    assert mixing._entries(mixing._binary(n, bucket).slice(3, 2), "<u2")[0].tolist() == n[3:5].tolist()
+    assert np.array_equal(mixing._entries(mixing._binary(n, count).slice(3), "<u4")[1], count[n[:3].sum() :])
+
+
 def test_rake_meets_all_marginals():
     r = np.random.default_rng(1)
     base = r.integers(50, 100, 60).astype(float)
