@@ -16,6 +16,17 @@ from .helpers import clash, near, sha
 SF = "/root/testdata/sf0.001"
 
 
+def test_mixing_stage_fits_topics_to_all_documents(spark):
+    """More documents than topics were once fitted to, and one longer than was once read."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i % 3) * 9 + (i * j) % 17}" for j in range(9)) if i else "late word " * 9000, f"s{i % 3}", ("en", "fr")[i % 2]) for i in range(2300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(3)
+    keys = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) as h").collect()}
+    model = mixing.train_topics([r[1] for r in rows], [r[3] for r in rows], keys=[keys[r[0]] for r in rows])
+    assert model.tables["en"][int(mixing.Words(["late"]).hash[0]) % (1 << mixing.BITS)].any()
+    want = {r.doc_id for r in mixing.mixed(docs, q.BYTE_BPE, topics=model, targets=q.TARGETS).where("kept").collect()}
+    assert {r.doc_id for r in cp.mix_sources(spark, docs, SF).collect()} == want and 0 < len(want) < 2300
+
+
 def test_pipeline_equals_its_stages(spark):
     docs = q.table(spark, SF, "documents")
     labels = q.table(spark, SF, "labels")
