@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ._spark import integer_id
 from ._text import U64, VISIBLE, Words, _power, chunks, mix, release, runs
-from .toxicity import held_out, labelled_sample
+from .toxicity import held_out, labelled_rows, trained
 
 BITS = 16
 #: The most labelled documents of each grade that training takes.
@@ -162,7 +162,7 @@ def fit(df: DataFrame, labels: DataFrame, *, grade: str = "quality", id_col: str
     if len(found) > most_grades:
         raise ValueError(f"{grade} has more than {most_grades} grades")
     grades = found or [0, 1]
-    return train(*labelled_sample(df, labels, grade, grades, per_grade, id_col, text_col), grades)
+    return trained(labelled_rows(df, labels, grade, grades, per_grade, id_col, text_col), train, grades)
 
 
 def _scored(batches, model: Model, cut: int):

@@ -12,6 +12,8 @@ weights are linear, scoring needs one number for each n-gram bucket.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -217,13 +219,13 @@ def held_out(col) -> F.Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(df: DataFrame, labels: DataFrame, label: str, classes: list, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, np.ndarray]:
-    """Whole texts and labels of at most per_class documents of each class outside the held-out third.
+def labelled_rows(df: DataFrame, labels: DataFrame, label: str, classes: list, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, label) of at most per_class documents of each class outside the held-out third, with whole texts.
 
     The documents are those first in the order of a hash of their id, among the labelled ones
     whose text is there: labels without a document, null texts, texts over LONGEST characters and
     null labels are left out before the sample is cut. A document with several labels has the
-    largest; of several texts, the largest in their order. Only the rows trained on are collected.
+    largest; of several texts, the largest in their order.
     """
     own, text = integer_id(df, id_col), F.col(text_col)
     fits = text.isNotNull() & (F.length(text) <= LONGEST)
@@ -234,14 +236,34 @@ def labelled_sample(df: DataFrame, labels: DataFrame, label: str, classes: list,
     picked = [r for c in classes for r in first_by_hash(usable.where(F.col("label") == c), "h", per_class, "id")]
     chosen = df.sparkSession.createDataFrame([(r["id"], r["label"]) for r in picked], usable.select("id", "label").schema)
     # at most per_class rows of each class are broadcast
-    rows = df.where(fits).select(own.alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
-    out = sorted(rows.collect(), key=lambda r: r["id"])
-    return [r["text"] for r in out], np.array([r["label"] for r in out], np.float64)
+    return df.where(fits).select(own.alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+
+
+def _by_id(rows: list[tuple]) -> tuple[list, np.ndarray]:
+    rows = sorted(rows, key=lambda r: r[0])
+    return [r[1] for r in rows], np.array([r[2] for r in rows], np.float64)
+
+
+def labelled_sample(df: DataFrame, labels: DataFrame, label: str, classes: list, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, np.ndarray]:
+    """The texts and labels of labelled_rows(), in the order of their ids."""
+    return _by_id(labelled_rows(df, labels, label, classes, per_class, id_col, text_col).collect())
+
+
+def trained(rows: DataFrame, train: Callable, *args) -> object:
+    """What train(texts, labels, *args) makes of rows (id, text, label), in one task: texts and training don't reach the driver."""
+
+    def model(batches):
+        found = train(*_by_id([r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]), *args)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], names=["model"])
+        release()
+
+    found = rows.select("id", "text", "label").repartition(1).mapInArrow(model, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else train([], np.zeros(0), *args)
 
 
 def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE) -> Model:
     """A model from a bounded sample of the labelled documents outside the held-out third."""
-    return train(*labelled_sample(df, labels, "toxic", [0, 1], per_class, id_col, text_col))
+    return trained(labelled_rows(df, labels, "toxic", [0, 1], per_class, id_col, text_col), train)
 
 
 def _scored(batches, model: Model):

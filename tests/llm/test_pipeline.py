@@ -4,12 +4,14 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from termloom.llm import mixing, quality, toxicity
 from termloom.llm import queries as q
+from termloom.llm._components import components
 
 from .helpers import clash, near, sha
 
@@ -50,6 +52,43 @@ def test_pipeline_equals_its_stages(spark):
     assert got == want and len(got) > 10
 
 
+def test_classifiers_are_not_trained_on_the_driver(spark, monkeypatch):
+    docs, labels = q.table(spark, SF, "documents"), q.table(spark, SF, "labels")
+    want = toxicity.train(*toxicity.labelled_sample(docs, labels, "toxic", [0, 1], toxicity.SAMPLE))
+    grades = [r[0] for r in labels.where("quality is not null").select("quality").distinct().orderBy("quality").collect()]
+    graded = quality.train(*toxicity.labelled_sample(docs, labels, "quality", grades, quality.SAMPLE), grades)
+
+    def refused(*args, **how):
+        raise AssertionError("texts are read on the driver")
+
+    monkeypatch.setattr(toxicity, "_vocabulary", refused)
+    monkeypatch.setattr(quality, "features", refused)
+    got = toxicity.fit(docs, labels)
+    assert np.allclose(got.bucket, want.bucket, atol=1e-5) and np.isclose(got.bias, want.bias) and got.bucket.any()
+    got = quality.fit(docs, labels)
+    assert np.allclose(got.weights, graded.weights) and np.allclose(got.thresholds, graded.thresholds) and got.weights.any()
+
+
+def test_few_edges_take_few_tasks(spark):
+    """Rounds over 47 edges in 64 partitions took thousands of tasks, of which the driver keeps account."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc, status = spark.sparkContext, spark.sparkContext.statusTracker()
+    edges = spark.range(48).selectExpr("id as a", "case when id % 12 > 0 then id - 1 end as b").repartition(64)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few edges", "")
+        found = {r.id: r.component for r in components(edges).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {i: i - i % 12 for i in range(48)}
+    infos = [status.getStageInfo(i) for i in {s for j in status.getJobIdsForGroup("few edges") for s in status.getJobInfo(j).stageIds}]
+    assert 100 < sum(x.numCompletedTasks for x in infos if x) < 700
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = q.table(spark, SF, "documents")
     assert 4 <= len(cp.STAGES) <= 5
