@@ -40,8 +40,8 @@ OWN, OWN_SHARE = 50, 0.025
 SCALE = 24
 #: The power of a document's distance to the first centres before it by which it is drawn as the next one.
 AWAY = 4
-#: Entries of vectors in one row of their table; bytes of sums that reach the driver in one round.
-ENTRIES, DRIVER_BYTES = 1 << 18, 128 << 20
+#: Entries of vectors in one row of their table; bytes of sums that the tasks of one round make, which one task adds up.
+ENTRIES, SUM_BYTES = 1 << 18, 128 << 20
 
 
 # Topics and tokens -----------------------------------------------------------------------------
@@ -135,8 +135,20 @@ def _summed(shards, centres: dict) -> dict:
     return out
 
 
+def _least(found: dict, part: dict) -> None:
+    """Merges what _drawn gives for other vectors into found."""
+    for g, x in part.items():
+        found[g] = min(found.get(g, x), x)
+
+
+def _added(total: dict, part: dict) -> None:
+    """Adds what _summed or _having gives for other rows to total; sums are whole numbers, so their order is free."""
+    for g, (a, b) in part.items():
+        total[g] = (total[g][0] + a, total[g][1] + b) if g in total else (a, b)
+
+
 def _clustered(groups: dict, k: int, run) -> dict:
-    """The table of each group; groups: for each its idf, run: partial results of a step over all vectors.
+    """The table of each group; groups: for each its idf, run: the merged result of a step over all vectors.
 
     Spherical k-means: the first centres are drawn far from each other, then rounds over all
     vectors follow until nothing changes. Topics are numbered from the largest. With fewer
@@ -145,10 +157,7 @@ def _clustered(groups: dict, k: int, run) -> dict:
     centres = {g: np.zeros((0, 1 << BITS)) for g in groups}
     live = set(groups)
     for turn in range(k):
-        found: dict = {}
-        for part in run(_drawn, {g: centres[g] for g in live}, turn) if live else ():
-            for g, x in part.items():
-                found[g] = min(found.get(g, x), x)
+        found = run(_drawn, _least, {g: centres[g] for g in live}, turn) if live else {}
         live = set(found)
         for g, (_, bucket, value) in found.items():
             one = np.zeros(1 << BITS)
@@ -158,10 +167,7 @@ def _clustered(groups: dict, k: int, run) -> dict:
     sizes = {g: np.zeros(len(c), np.int64) for g, c in centres.items()}
     live = {g for g in groups if len(centres[g])}
     for _ in range(STEPS):
-        total: dict = {}
-        for part in run(_summed, {g: centres[g] for g in live}) if live else ():
-            for g, (sums, counts) in part.items():
-                total[g] = (total[g][0] + sums, total[g][1] + counts) if g in total else (sums, counts)
+        total = run(_summed, _added, {g: centres[g] for g in live}) if live else {}
         for g, (sums, counts) in total.items():
             sizes[g] = counts
             if g in before and np.array_equal(before[g], sums):
@@ -199,7 +205,7 @@ def train_topics(texts: list, langs: list, k: int = TOPICS, keys: list | None =
         groups[g] = _idf(len(m), np.bincount(b, minlength=1 << BITS))
         if len(m):
             shards.append((g, m, b, _weighted(m, b, c, groups[g]), h[own]))
-    tables = _clustered(groups, k, lambda step, *args: [step(shards, *args)])
+    tables = _clustered(groups, k, lambda step, _merge, *args: step(shards, *args))
     return Topics({lang: tables[g] for g, lang in enumerate(names)})
 
 
@@ -269,7 +275,7 @@ def _with_vectors(batches, at: int, names: list[str], path: str | None):
 
 
 def _having(batches, names: dict, shared: bool):
-    """One row of the documents with words of each group, and of those with each bucket."""
+    """For each group a row of the documents with words, and of those with each bucket."""
     out = {g: [0, np.zeros(1 << BITS, np.int64)] for g in [0] * shared + list(names.values())}
     for batch in batches:
         n, bucket = _entries(batch.column(1), "<u2")
@@ -278,7 +284,7 @@ def _having(batches, names: dict, shared: bool):
             own = (n > 0) & ((of == g) | (g == 0))
             total[0] += int(own.sum())
             total[1] += np.bincount(bucket[np.repeat(own, n)], minlength=1 << BITS)
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(out)], pa.binary())], names=["part"])
+    yield from _parts(out)
 
 
 def _shards(batches, names: dict, groups: dict):
@@ -309,8 +315,24 @@ def _read(batches):
             yield g, n.astype(np.int64), bucket, value, h.astype(U64)
 
 
-def _stepped(batches, step, *args):
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(step(_read(batches), *args))], pa.binary())], names=["part"])
+def _parts(found: dict):
+    """A row for each group."""
+    for g, x in found.items():
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps({g: x})], pa.binary())], names=["part"])
+
+
+def _stepped(batches, step, centres, *args):
+    yield from _parts(step(_read(batches), centres.value, *args))
+    release()
+
+
+def _merged(batches, merge):
+    out: dict = {}
+    for batch in batches:
+        for part in batch.column(0):
+            merge(out, pickle.loads(part.as_py()))
+    yield from _parts(out)
+    release()
 
 
 def _fitted(rows: DataFrame, k: int, shared: bool) -> Topics:
@@ -322,21 +344,27 @@ def _fitted(rows: DataFrame, k: int, shared: bool) -> Topics:
     names = {r["lang"]: g for g, r in enumerate(own, 1)}
     shared = shared or total > sum(r["n"] for r in own)
 
-    def collected(df: DataFrame, function, slots: int, *args) -> list:
-        # one part a task: few enough that the driver holds all of them
-        tasks = max(1, min(spark.sparkContext.defaultParallelism, DRIVER_BYTES // (max(1, slots) * 8 << BITS)))
-        return [pickle.loads(r["part"]) for r in df.coalesce(tasks).mapInArrow(lambda it: function(it, *args), "part binary").collect()]
+    def collected(df: DataFrame, function, merge, slots: int, *args) -> dict:
+        # merged in one task: the driver gets one part of each group, however many tasks there are
+        tasks = max(1, min(spark.sparkContext.defaultParallelism, SUM_BYTES // (max(1, slots) * 8 << BITS)))
+        parts = df.coalesce(tasks).mapInArrow(lambda it: function(it, *args), "part binary").repartition(1)
+        out: dict = {}
+        for part in parts.mapInArrow(lambda it: _merged(it, merge), "part binary").toArrow()["part"]:
+            merge(out, pickle.loads(part.as_py()))
+        return out
 
     n_groups = len(names) + shared
-    having: dict = {}
-    for part in collected(rows.select("lang", "bucket"), _having, n_groups, names, shared):
-        for g, (n, b) in part.items():
-            having[g] = (having[g][0] + n, having[g][1] + b) if g in having else (n, b)
+    having = collected(rows.select("lang", "bucket"), _having, _added, n_groups, names, shared)
     groups = {g: _idf(n, b) for g, (n, b) in having.items()}
     shards = cut(rows.select("lang", *_VECTOR).mapInArrow(lambda it: _shards(it, names, groups), _SHARDS))
 
-    def run(step, centres: dict, *args) -> list:
-        return collected(shards.where(F.col("g").isin(list(centres))), _stepped, n_groups * k, step, centres, *args)
+    def run(step, merge, centres: dict, *args) -> dict:
+        # destroyed after each pass, else copies stay everywhere until the driver happens to collect its garbage
+        sent = spark.sparkContext.broadcast(centres)
+        try:
+            return collected(shards.where(F.col("g").isin(list(centres))), _stepped, merge, n_groups * k, step, sent, *args)
+        finally:
+            sent.destroy()
 
     tables = _clustered(groups, k, run)
     return Topics({None: tables.get(0, np.zeros((1 << BITS, 1), np.float32)), **{lang: tables[g] for lang, g in names.items()}})

@@ -127,6 +127,24 @@ def test_topics_are_fitted_to_all_documents(spark, many):
     assert not np.array_equal(less.tables["en"], want.tables["en"]) and np.array_equal(less.tables["fr"], want.tables["fr"])
 
 
+def test_sums_of_all_tasks_reach_the_driver_as_one(spark):
+    r, sc = rng(3), spark.sparkContext
+    rows = [(i, " ".join(f"w{x}" for x in r.integers(0, 30_000, 2000)), "en") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sc.setLocalProperty("spark.jobGroup.id", "sums")
+    try:
+        mixing.fit_topics(df)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("sums") for s in status.getJobInfo(j).stageIds}
+    # of two groups, all and en, six sums each; every stage took up to four tasks
+    sent = max(sc._jsc.sc().statusStore().lastStageAttempt(s).resultSize() for s in stages)
+    one = 2 * mixing.TOPICS * (8 << mixing.BITS)
+    assert 0.5 * one < sent < 1.2 * one, sent / one
+
+
 def test_mix_uses_topics_of_all_documents(spark, many):
     topics = mixing.fit_topics(many)
     one, two = ({r.doc_id: (r.topic, r.tokens, r.rate, r.kept) for r in mixing.mixed(many, PATH, topics=t).collect()} for t in (None, topics))
