@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import getpass
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -31,10 +33,29 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/termloom/{name}-{uuid.uuid4().hex}"
 
 
+def give_back(spark: SparkSession) -> None:
+    """Give what the driver's JVM has freed outside its heap back to the system, as release() does in a worker.
+
+    Plans are compiled, and results unpacked, in memory that the C library keeps once it is freed:
+    hundreds of MB in a long session. A JVM that has no such command keeps them.
+    """
+    jvm, new = spark._jvm, spark.sparkContext._gateway.new_array
+    named = jvm.java.lang.Class.forName
+    with contextlib.suppress(Py4JError):
+        kinds, args = new(jvm.java.lang.Class, 4), new(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = named(kind)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # through the interface, as the server's own class is closed to reflection
+        named("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder now and go on from there: survives lost executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    give_back(df.sparkSession)
+    return out
 
 
 def remove(spark: SparkSession, path: str) -> None:

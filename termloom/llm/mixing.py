@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, integer_id
+from ._spark import cut, give_back, integer_id
 from ._text import U64, Words, mix, release, runs
 from .token_counts import _vocabulary, encoded
 
@@ -365,6 +365,7 @@ def _fitted(rows: DataFrame, k: int, shared: bool) -> Topics:
             return collected(shards.where(F.col("g").isin(list(centres))), _stepped, merge, n_groups * k, step, sent, *args)
         finally:
             sent.destroy()
+            give_back(spark)
 
     tables = _clustered(groups, k, run)
     return Topics({None: tables.get(0, np.zeros((1 << BITS, 1), np.float32)), **{lang: tables[g] for lang, g in names.items()}})

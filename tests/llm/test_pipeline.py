@@ -2,6 +2,8 @@
 
 import glob
 import os
+import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from termloom.llm import mixing, quality, toxicity
+from termloom.llm import _spark, mixing, quality, toxicity
 from termloom.llm import queries as q
 from termloom.llm._components import components
 
@@ -89,6 +91,29 @@ def test_few_edges_take_few_tasks(spark):
     assert 100 < sum(x.numCompletedTasks for x in infos if x) < 700
 
 
+def test_driver_gives_freed_memory_back(spark, monkeypatch):
+    """What the JVM frees outside its heap stayed with the C library, and added up from stage to stage."""
+    jvm, given, give_back = spark._jvm, [], _spark.give_back
+    rollup = Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup")
+    mb = lambda: int(re.search(r"\nPss_Anon:\s+(\d+)", rollup.read_text())[1]) / 1024
+
+    def measured(session):  # the heap may grow during a checkpoint, so only this step is weighed
+        before = mb()
+        give_back(session)
+        given.append(before - mb())
+
+    monkeypatch.setattr(_spark, "give_back", measured)
+    _spark.cut(spark.range(9))
+    held = [jvm.java.util.zip.Deflater() for _ in range(600)]
+    for i, x in enumerate(held):
+        if i % 20:
+            x.end()
+    _spark.cut(spark.range(9))
+    for x in held[::20]:
+        x.end()
+    assert len(given) == 2 and given[1] > 50, given
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = q.table(spark, SF, "documents")
     assert 4 <= len(cp.STAGES) <= 5
